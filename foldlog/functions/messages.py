@@ -12,8 +12,8 @@ def record_json(*fields: Column) -> Column:
 
 
 def encoded(text: Column) -> Column:
-    """UTF-8 bytes of ``text`` in base64."""
-    return F.base64(F.encode(text, "UTF-8"))
+    """UTF-8 bytes of ``text`` in base64, on one line whatever line length Spark is set to."""
+    return F.translate(F.base64(F.encode(text, "UTF-8")), "\r\n", "")
 
 
 def attribute_map(attributes: dict[str, Column | str]) -> Column:
