@@ -28,10 +28,12 @@ def parse_payload(text: Column, mode: str = "fail") -> Column:
 
 
 def text_at(document: Column, path: str) -> Column:
-    """Value at ``path`` as text; a missing or non-object parent counts as absent."""
-    found = F.variant_get(document, path, "variant")
-    absent = document.isNotNull() & found.isNull()
-    return F.when(absent, F.lit("")).otherwise(found.cast("string"))
+    """Value at ``path`` as text; a missing or non-object parent counts as absent.
+
+    ``document`` is used three times, so pass a column that holds the parsed document.
+    """
+    absent = document.isNotNull() & F.variant_get(document, path, "variant").isNull()
+    return F.coalesce(F.variant_get(document, path, "string"), F.when(absent, F.lit("")))
 
 
 def object_at(document: Column, path: str) -> Column:

@@ -26,7 +26,8 @@ def live_rows(log: DataFrame, deleted: DataFrame, key: str = "document_id") -> D
     above it both sides are shuffled. The staged side is then a bare scan under its exchange,
     which adaptive execution needs to split a key that holds much of the log.
     """
-    return log.join(stage(deleted.select(key).distinct(), "deleted"), key, "left_anti")
+    gone = stage(deleted.select(key).distinct(), "deleted")
+    return log.join(gone, log[key] == gone[key], "left_anti")
 
 
 def latest_per_key(df: DataFrame, key: str, newest_first: Sequence[Column]) -> DataFrame:

@@ -8,7 +8,7 @@ caller's unique columns, so a key or a group of copies of any size is split over
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -18,7 +18,12 @@ from foldlog.staging import stage
 _MARK, _RANGE, _SLOT, _SKIP = "__mark", "__range", "__slot", "__skip"
 
 
-def _in_ranges(df: DataFrame, order: Sequence[Column], unique: Sequence[str]) -> DataFrame:
+RowWise = Callable[[DataFrame], DataFrame]
+
+
+def _in_ranges(
+    df: DataFrame, order: Sequence[Column], unique: Sequence[str], finish: RowWise | None = None
+) -> DataFrame:
     if not unique:
         raise ValueError("name the columns that make the order total")
     total = [*order, *(F.col(name).asc_nulls_first() for name in unique)]
@@ -28,19 +33,27 @@ def _in_ranges(df: DataFrame, order: Sequence[Column], unique: Sequence[str]) ->
         .sortWithinPartitions(*total)
         .withColumn(_MARK, F.monotonically_increasing_id())
     )
-    return stage(
+    placed = (
         marked.withColumn(_RANGE, F.shiftright(_MARK, 33).cast("int"))
         .withColumn(_SLOT, F.col(_MARK).bitwiseAND(F.lit((1 << 33) - 1)))
-        .drop(_MARK),
-        "ranges",
+        .drop(_MARK)
     )
+    return stage(finish(placed) if finish else placed, "ranges")
 
 
 def global_ordinal(
-    df: DataFrame, order: Sequence[Column], unique: Sequence[str], name: str = "indice"
+    df: DataFrame,
+    order: Sequence[Column],
+    unique: Sequence[str],
+    name: str = "indice",
+    finish: RowWise | None = None,
 ) -> DataFrame:
-    """Number all rows from 1 in ``order``, with ties settled by the ``unique`` columns."""
-    ranges = _in_ranges(df, order, unique)
+    """Number all rows from 1 in ``order``, with ties settled by the ``unique`` columns.
+
+    ``finish`` may add or drop columns, row by row, after the sort and before staging: a costly
+    expression placed there runs once per row, and not while boundaries are sampled.
+    """
+    ranges = _in_ranges(df, order, unique, finish)
     earlier = Window.orderBy(_RANGE).rowsBetween(Window.unboundedPreceding, -1)
     # One row per range partition: bounded by spark.sql.shuffle.partitions.
     skips = (

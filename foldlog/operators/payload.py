@@ -32,6 +32,17 @@ RESPONSIBLE_WORKSHOP = ("responsibleWorkshop", "$.analysis.responsibleWorkshop.w
 _DOCUMENT = "__document"
 
 
+def payload_field(
+    df: DataFrame, name: str, path: str, column: str = "data", mode: str = "fail"
+) -> DataFrame:
+    """Add one payload field as text."""
+    return (
+        df.withColumn(_DOCUMENT, parse_payload(F.col(column), mode))
+        .withColumn(name, text_at(F.col(_DOCUMENT), path))
+        .drop(_DOCUMENT)
+    )
+
+
 def flatten_payload(
     df: DataFrame, column: str = "data", mode: str = "fail", leaf: str = "object"
 ) -> DataFrame:

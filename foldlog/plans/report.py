@@ -7,11 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from foldlog.functions.payload import parse_payload, text_at
 from foldlog.functions.times import epoch_to_text
 from foldlog.operators.changelog import deleted_keys, latest_per_key, live_rows
 from foldlog.operators.ordinals import global_ordinal
-from foldlog.operators.payload import flatten_payload
+from foldlog.operators.payload import flatten_payload, payload_field
 from foldlog.operators.shape import (
     null_to_default,
     project_rename,
@@ -103,17 +102,15 @@ def current_events(
     from every payload; the other fields are read from the rows that stay.
     """
     live = live_rows(log, deleted_keys(log))
-    wanted = dict.fromkeys(["document_id", "data", "timestamp", *unique])
     numbered = global_ordinal(
-        live.select(*wanted),
+        live.select(*dict.fromkeys(["document_id", "data", "timestamp", *unique])),
         [F.col(name).asc_nulls_first() for name in ("document_id", "data", "timestamp")],
         unique,
-    )
-    keyed = numbered.select(
-        "data", "timestamp", "indice", text_at(parse_payload(F.col("data"), mode), "$.id").alias("key")
-    )
-    latest = latest_per_key(keyed, "key", [F.desc_nulls_last("timestamp"), F.asc("indice")])
-    flat = flatten_payload(latest.drop("key"), "data", mode, leaf)
+        finish=lambda rows: payload_field(rows, "__id", "$.id", "data", mode),
+    ).select("__id", "data", "timestamp", "indice")
+    newest_first = [F.desc_nulls_last("timestamp"), F.asc("indice")]
+    latest = latest_per_key(numbered, "__id", newest_first).drop("__id")
+    flat = flatten_payload(latest, "data", mode, leaf)
     dated = null_to_default(flat, {"finalizedAt": 0, "tracingAt": 0, "processAt": 0}).withColumns(
         {
             "creacion": epoch_to_text(F.col("createdAt")),
