@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from checks.inputs import SPARK_PAYLOAD, change_log, sheet_export, table
 from foldlog.functions.messages import record_json
-from foldlog.functions.payload import object_at, parse_payload, text_at
 from foldlog.functions.times import epoch_to_text
 from foldlog.operators import changelog, ordinals, shape
 from foldlog.operators import payload as payload_ops
@@ -59,15 +58,12 @@ def latest_live(spark: SparkSession, folder: str) -> DataFrame:
 
 def flatten_payload(spark: SparkSession, folder: str) -> DataFrame:
     events = table(spark, folder, "events").select(
-        "event_id", F.expr(SPARK_PAYLOAD).alias("data"), parse_payload(F.col("props")).alias("doc")
+        "event_id", "props", F.expr(SPARK_PAYLOAD).alias("data")
     )
-    props = events.select(
-        "event_id",
-        "data",
-        text_at(F.col("doc"), "$.k").alias("props_k"),
-        text_at(F.col("doc"), "$.missing").alias("props_missing"),
+    props = payload_ops.document_fields(
+        payload_ops.parse_payload(events, "props"), {"props_k": "k", "props_missing": "missing"}
     )
-    return payload_ops.flatten_payload(props)
+    return payload_ops.flatten_payload(props.drop("props"))
 
 
 def flatten_nested(spark: SparkSession, folder: str) -> DataFrame:
@@ -81,18 +77,19 @@ def flatten_nested(spark: SparkSession, folder: str) -> DataFrame:
         F.col("o_orderstatus").alias("status"),
     )
     documents = orders.join(customers, orders.o_custkey == customers.c_custkey).select(
-        "o_orderkey", parse_payload(F.to_json(nested)).alias("doc")
-    )
-    doc = F.col("doc")
-    return documents.select(
-        "o_orderkey",
-        text_at(doc, "$.customer.name").alias("name"),
-        text_at(doc, "$.customer.home.key").alias("nation"),
-        text_at(doc, "$.status.name").alias("scalar_parent"),
-        text_at(doc, "$.absent.name").alias("absent_parent"),
-        object_at(doc, "$.customer.home").alias("home_object"),
-        object_at(doc, "$.customer.home.segment").alias("segment_object"),
+        "o_orderkey", F.to_json(nested).alias("data")
     )
+    fields = {
+        "name": "customer.name",
+        "nation": "customer.home.key",
+        "scalar_parent": "status.name",
+        "absent_parent": "absent.name",
+        "home_object": "customer.home",
+        "segment_object": "customer.home.segment",
+    }
+    return payload_ops.document_fields(
+        payload_ops.parse_payload(documents), fields, objects=("home_object", "segment_object")
+    ).drop("data")
 
 
 def epoch_text(spark: SparkSession, folder: str) -> DataFrame:

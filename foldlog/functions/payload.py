@@ -1,45 +1,59 @@
-"""Read fields from a JSON document held in a text column.
+"""Parse JSON documents held in text, and turn their values into text.
 
-A field that is absent reads as ``''``, a JSON null as NULL, and any other value as text (lists
-and objects as JSON text). Only the variant type keeps absent and null apart.
+Only the variant type keeps an absent field (SQL NULL) and a JSON null (a variant) apart.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 _JSON_SPACE = " \t\r\n"
 
 
-def parse_payload(text: Column, mode: str = "fail") -> Column:
-    """Text to variant, for JSON objects.
+def parse_listed(text: Column, mode: str) -> Column:
+    """A JSON object, parsed as the only element of a list.
 
-    ``mode="fail"`` raises on text that is NULL, malformed or not an object; ``mode="null"``
-    gives NULL for it.
+    The parser stops after the first value it has read; inside a list it finds what follows.
     """
     is_object = F.ltrim(text, F.lit(_JSON_SPACE)).startswith("{")
+    listed = F.concat(F.lit("["), text, F.lit("]"))
     if mode == "fail":
-        refused = F.raise_error(F.lit("payload is not a JSON object"))
-        return F.when(is_object, F.parse_json(text)).otherwise(refused)
+        return F.when(is_object, F.parse_json(listed)).otherwise(_refused())
     if mode == "null":
-        return F.when(is_object, F.try_parse_json(text))
+        return F.when(is_object, F.try_parse_json(listed))
     raise ValueError(f"mode must be 'fail' or 'null', not {mode!r}")
 
 
-def text_at(document: Column, path: str) -> Column:
-    """Value at ``path`` as text; a missing or non-object parent counts as absent.
+def only_element(listed: Column, mode: str) -> Column:
+    """The object parsed by ``parse_listed``; more than one is refused like malformed text."""
+    alone = F.variant_get(listed, "$[1]", "variant").isNull()
+    found = F.when(alone, F.variant_get(listed, "$[0]", "variant"))
+    return found.otherwise(_refused()) if mode == "fail" else found
+
+
+def _refused() -> Column:
+    return F.raise_error(F.lit("payload is not one JSON object"))
+
+
+def members(value: Column, names: Iterable[str]) -> Column:
+    """Struct of the named members of an object, each a variant; NULL for any other value."""
+    fields = ",".join(f"`{name}`:variant" for name in names)
+    return F.try_variant_get(value, "$", f"struct<{fields}>")
+
+
+def member_text(value: Column, root: Column) -> Column:
+    """Text of a member: ``''`` when absent, NULL for JSON null, JSON text for lists and objects.
 
-    ``document`` is used three times, so pass a column that holds the parsed document.
+    NULL as well where ``root``, the members of the whole document, is NULL.
     """
-    absent = document.isNotNull() & F.variant_get(document, path, "variant").isNull()
-    return F.coalesce(F.variant_get(document, path, "string"), F.when(absent, F.lit("")))
+    absent = value.isNull() & root.isNotNull()
+    return F.when(absent, F.lit("")).otherwise(value.cast("string"))
 
 
-def object_at(document: Column, path: str) -> Column:
-    """Like ``text_at``, but every value that is not an object reads as ``''``."""
-    as_json = F.to_json(F.variant_get(document, path, "variant"))
-    return (
-        F.when(as_json.startswith("{"), as_json)
-        .when(document.isNotNull(), F.lit(""))
-    )
+def object_text(value: Column, root: Column) -> Column:
+    """JSON text of a member that is an object, ``''`` for any other value."""
+    as_json = F.to_json(value)
+    return F.when(as_json.startswith("{"), as_json).when(root.isNotNull(), F.lit(""))

@@ -2,47 +2,112 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+from collections.abc import Collection, Mapping
 
-from foldlog.functions.payload import object_at, parse_payload, text_at
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
-# Payload fields of a quality event, as (column, path).
-TOP_FIELDS = (
-    "workOrder", "id", "eventType", "state", "workShop", "miningOperation", "packageNumber",
-    "question1", "enventDetail", "component", "partNumber", "generalImages", "correctiveActions",
-)
-NESTED_FIELDS = (
-    ("observation", "$.analysis.observation"),
-    ("process", "$.analysis.process"),
-    ("bahia", "$.analysis.bahia"),
-    ("basicCause", "$.analysis.basicCause"),
-    ("responsable", "$.analysis.responsable"),
-    ("causeFailure", "$.analysis.causeFailure"),
-    ("processAt", "$.processAt._seconds"),
-    ("finalizedAt", "$.finalizedAt._seconds"),
-    ("tracingAt", "$.tracingAt._seconds"),
-    ("createdAt", "$.createdAt._seconds"),
-    ("createdBy_email", "$.createdBy.email"),
-    ("reportingWorkshop", "$.reportingWorkshop.workshopName"),
-    ("specialist", "$.specialist.name"),
+from foldlog.functions.payload import (
+    member_text,
+    members,
+    object_text,
+    only_element,
+    parse_listed,
 )
-RESPONSIBLE_WORKSHOP = ("responsibleWorkshop", "$.analysis.responsibleWorkshop.workshopName")
 
-_DOCUMENT = "__document"
+# Payload fields of a quality event, as column and path.
+PAYLOAD_FIELDS = {
+    "workOrder": "workOrder",
+    "responsibleWorkshop": "analysis.responsibleWorkshop.workshopName",
+    "id": "id",
+    "eventType": "eventType",
+    "state": "state",
+    "workShop": "workShop",
+    "miningOperation": "miningOperation",
+    "packageNumber": "packageNumber",
+    "question1": "question1",
+    "enventDetail": "enventDetail",
+    "component": "component",
+    "partNumber": "partNumber",
+    "generalImages": "generalImages",
+    "correctiveActions": "correctiveActions",
+    "observation": "analysis.observation",
+    "process": "analysis.process",
+    "bahia": "analysis.bahia",
+    "basicCause": "analysis.basicCause",
+    "responsable": "analysis.responsable",
+    "causeFailure": "analysis.causeFailure",
+    "processAt": "processAt._seconds",
+    "finalizedAt": "finalizedAt._seconds",
+    "tracingAt": "tracingAt._seconds",
+    "createdBy_email": "createdBy.email",
+    "reportingWorkshop": "reportingWorkshop.workshopName",
+    "specialist": "specialist.name",
+    "createdAt": "createdAt._seconds",
+}
 
+_DOCUMENT, _LISTED = "__document", "__listed"
 
-def payload_field(
-    df: DataFrame, name: str, path: str, column: str = "data", mode: str = "fail"
+
+def parse_payload(
+    df: DataFrame, column: str = "data", mode: str = "fail", name: str = _DOCUMENT
 ) -> DataFrame:
-    """Add one payload field as text."""
+    """Add the JSON object in a text column as a variant column.
+
+    ``mode="fail"`` raises on text that is NULL, malformed or not one object; ``mode="null"``
+    gives NULL for it.
+    """
     return (
-        df.withColumn(_DOCUMENT, parse_payload(F.col(column), mode))
-        .withColumn(name, text_at(F.col(_DOCUMENT), path))
-        .drop(_DOCUMENT)
+        df.withColumn(_LISTED, parse_listed(F.col(column), mode))
+        .withColumn(name, only_element(F.col(_LISTED), mode))
+        .drop(_LISTED)
     )
 
 
+def document_fields(
+    df: DataFrame,
+    fields: Mapping[str, str],
+    document: str = _DOCUMENT,
+    objects: Collection[str] = (),
+) -> DataFrame:
+    """Add text columns read from a variant column, which is dropped.
+
+    ``fields`` gives a dotted path per column. An absent value reads as ``''``, a JSON null as
+    NULL, lists and objects as JSON text; a parent that is missing or not an object counts as
+    absent. Columns named in ``objects`` keep a value only where it is an object, and are ``''``
+    elsewhere. The members of one object are taken in one step, level by level: looking each
+    path up from the root costs several times as much.
+    """
+    wanted: dict[tuple[str, ...], dict[str, None]] = {}
+    for path in fields.values():
+        parts = tuple(path.split("."))
+        for depth, member in enumerate(parts):
+            wanted.setdefault(parts[:depth], {})[member] = None
+
+    def value(parts: tuple[str, ...]) -> Column:
+        if not parts:
+            return F.col(document)
+        return F.col(f"`{_holder(parts[:-1])}`").getField(parts[-1])
+
+    kept = [F.col(f"`{name}`") for name in df.columns if name != document]
+    for depth in range(1 + max(map(len, wanted))):
+        level = {parent: names for parent, names in wanted.items() if len(parent) == depth}
+        df = df.withColumns(
+            {_holder(parent): members(value(parent), names) for parent, names in level.items()}
+        )
+
+    def text(name: str, path: str) -> Column:
+        as_text = object_text if name in objects else member_text
+        return as_text(value(tuple(path.split("."))), F.col(_holder(()))).alias(name)
+
+    return df.select(*kept, *(text(name, path) for name, path in fields.items()))
+
+
+def _holder(parent: tuple[str, ...]) -> str:
+    """Name of the column that holds the members of the object at ``parent``."""
+    return ".".join(("__members", *parent))
+
+
 def flatten_payload(
     df: DataFrame, column: str = "data", mode: str = "fail", leaf: str = "object"
 ) -> DataFrame:
@@ -53,12 +118,5 @@ def flatten_payload(
     """
     if leaf not in ("object", "any"):
         raise ValueError(f"leaf must be 'object' or 'any', not {leaf!r}")
-    document = F.col(_DOCUMENT)
-    name, path = RESPONSIBLE_WORKSHOP
-    workshop = object_at(document, path) if leaf == "object" else text_at(document, path)
-    return df.withColumn(_DOCUMENT, parse_payload(F.col(column), mode)).select(
-        *df.columns,
-        *(text_at(document, f"$.{field}").alias(field) for field in TOP_FIELDS),
-        *(text_at(document, path).alias(field) for field, path in NESTED_FIELDS),
-        workshop.alias(name),
-    )
+    objects = ("responsibleWorkshop",) if leaf == "object" else ()
+    return document_fields(parse_payload(df, column, mode), PAYLOAD_FIELDS, objects=objects)

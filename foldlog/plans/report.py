@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from foldlog.functions.times import epoch_to_text
 from foldlog.operators.changelog import deleted_keys, latest_per_key, live_rows
 from foldlog.operators.ordinals import global_ordinal
-from foldlog.operators.payload import flatten_payload, payload_field
+from foldlog.operators.payload import document_fields, flatten_payload, parse_payload
 from foldlog.operators.shape import (
     null_to_default,
     project_rename,
@@ -106,7 +106,7 @@ def current_events(
         live.select(*dict.fromkeys(["document_id", "data", "timestamp", *unique])),
         [F.col(name).asc_nulls_first() for name in ("document_id", "data", "timestamp")],
         unique,
-        finish=lambda rows: payload_field(rows, "__id", "$.id", "data", mode),
+        finish=lambda rows: document_fields(parse_payload(rows, "data", mode), {"__id": "id"}),
     ).select("__id", "data", "timestamp", "indice")
     newest_first = [F.desc_nulls_last("timestamp"), F.asc("indice")]
     latest = latest_per_key(numbered, "__id", newest_first).drop("__id")

@@ -3,9 +3,8 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from foldlog.functions.payload import text_at
+from foldlog.operators.payload import document_fields
 
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
@@ -15,8 +14,5 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
 
 def action_records(documents: DataFrame) -> DataFrame:
     """Document id and its corrective actions (JSON text); ``''`` where absent."""
-    document = F.col("document")
-    return documents.select(
-        text_at(document, "$.id").alias("id"),
-        text_at(document, "$.correctiveActions").alias("correctiveActions"),
-    )
+    fields = {"id": "id", "correctiveActions": "correctiveActions"}
+    return document_fields(documents, fields, "document")
