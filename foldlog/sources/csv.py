@@ -44,7 +44,9 @@ def _read_cells(spark: SparkSession, path: str, multi_line: bool) -> DataFrame:
     unquoted = F.regexp_replace(_RECORD, '"(?:[^"]|"")*+"', "")
     commas = F.length(unquoted) - F.length(F.replace(unquoted, F.lit(","), F.lit("")))
     too_long = F.col(_RECORD).isNotNull() & (commas >= len(names))
-    refused = F.raise_error(F.concat(F.lit("more fields than the header: "), F.col(_RECORD)))
+    # The first cell is named too, as Spark refuses to read the record column on its own.
+    first = F.coalesce(_col(names[0]), F.lit(""))
+    refused = F.raise_error(F.concat(F.lit("too many fields after "), first, F.lit(": "), F.col(_RECORD)))
     return cells.filter(F.when(too_long, refused.cast("boolean")).otherwise(F.lit(True))).select(
         *(_col(name) for name in names)
     )
