@@ -15,6 +15,7 @@ from foldlog.operators import payload as payload_ops
 from foldlog.plans import audit, report
 from foldlog.plans import messages as message_plan
 from foldlog.sinks import loads
+from foldlog.sinks import messages as message_sink
 from foldlog.sources import csv as csv_source
 from foldlog.sources import documents as document_source
 from foldlog.sources import files
@@ -233,8 +234,11 @@ def message_envelope(spark: SparkSession, folder: str) -> DataFrame:
         record_json(F.col("conv_id"), F.col("turn"), F.col("text")),
         {"role": F.col("role"), "turn": F.col("turn"), "kind": "turn"},
     )
+    topic = new_path(spark, "topic")
+    message_sink.publish(messages, path=topic)
+    published = spark.read.schema(messages.schema).json(topic)
     attributes = [F.col("attributes")[key].alias(f"{key}_attribute") for key in ("role", "turn", "kind")]
-    return messages.select("data", *attributes)
+    return published.select("data", *attributes)
 
 
 QUERIES = {

@@ -8,9 +8,10 @@ caller's unique columns, so a key or a group of copies of any size is split over
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from foldlog.staging import stage
@@ -20,6 +21,28 @@ _MARK, _RANGE, _SLOT, _SKIP = "__mark", "__range", "__slot", "__skip"
 
 RowWise = Callable[[DataFrame], DataFrame]
 
+_POINTS_KEY = "spark.sql.execution.rangeExchange.sampleSizePerPartition"
+_MOST_POINTS = 100_000
+
+
+@contextmanager
+def _few_sample_points(spark: SparkSession) -> Iterator[None]:
+    """Bound the sort keys that are sampled to the driver to find range boundaries.
+
+    Keys may hold whole documents. Spark samples up to three times the points asked for, so some
+    300,000 keys reach the driver, however many partitions there are below 50,000.
+    """
+    partitions = int(
+        spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
+        or spark.conf.get("spark.sql.shuffle.partitions")
+    )
+    before = spark.conf.get(_POINTS_KEY)
+    spark.conf.set(_POINTS_KEY, str(max(2, min(int(before), _MOST_POINTS // partitions))))
+    try:
+        yield
+    finally:
+        spark.conf.set(_POINTS_KEY, before)
+
 
 def _in_ranges(
     df: DataFrame, order: Sequence[Column], unique: Sequence[str], finish: RowWise | None = None
@@ -38,7 +61,8 @@ def _in_ranges(
         .withColumn(_SLOT, F.col(_MARK).bitwiseAND(F.lit((1 << 33) - 1)))
         .drop(_MARK)
     )
-    return stage(finish(placed) if finish else placed, "ranges")
+    with _few_sample_points(df.sparkSession):
+        return stage(finish(placed) if finish else placed, "ranges")
 
 
 def global_ordinal(

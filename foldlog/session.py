@@ -12,15 +12,12 @@ _RESULT_SETTINGS = {
 }
 
 # Needed for even load. Splitting a skewed join is kept even where it costs one more exchange,
-# since one key may hold a third of all rows. Range boundaries are sampled on the driver with
-# whole sort keys, so fewer points per partition are taken than the default 100. Generated
-# methods above 8000 bytes of code are not compiled by the JVM: wide projections run faster as
-# several small methods.
+# since one key may hold a third of all rows. Generated methods above 8000 bytes of code are not
+# compiled by the JVM: wide projections run faster as several small methods.
 _SCALE_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    "spark.sql.execution.rangeExchange.sampleSizePerPartition": "20",
     "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
