@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Collection, Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from foldlog.functions.payload import (
@@ -78,34 +78,36 @@ def document_fields(
     elsewhere. The members of one object are taken in one step, level by level: looking each
     path up from the root costs several times as much.
     """
+    def quoted(name: str) -> str:
+        return "`" + name.replace("`", "``") + "`"
+
+    def holder(parent: tuple[str, ...]) -> str:
+        """Column that holds the members of the object at ``parent``."""
+        return quoted(".".join(("__members", *parent)))
+
     wanted: dict[tuple[str, ...], dict[str, None]] = {}
     for path in fields.values():
         parts = tuple(path.split("."))
         for depth, member in enumerate(parts):
             wanted.setdefault(parts[:depth], {})[member] = None
 
-    def value(parts: tuple[str, ...]) -> Column:
+    def value(parts: tuple[str, ...]) -> str:
         if not parts:
-            return F.col(document)
-        return F.col(f"`{_holder(parts[:-1])}`").getField(parts[-1])
+            return quoted(document)
+        return f"{holder(parts[:-1])}.{quoted(parts[-1])}"
 
-    kept = [F.col(f"`{name}`") for name in df.columns if name != document]
+    kept = [quoted(name) for name in df.columns if name != document]
     for depth in range(1 + max(map(len, wanted))):
         level = {parent: names for parent, names in wanted.items() if len(parent) == depth}
-        df = df.withColumns(
-            {_holder(parent): members(value(parent), names) for parent, names in level.items()}
+        df = df.selectExpr(
+            "*", *(f"{members(value(parent), names)} AS {holder(parent)}" for parent, names in level.items())
         )
 
-    def text(name: str, path: str) -> Column:
+    def text(name: str, path: str) -> str:
         as_text = object_text if name in objects else member_text
-        return as_text(value(tuple(path.split("."))), F.col(_holder(()))).alias(name)
-
-    return df.select(*kept, *(text(name, path) for name, path in fields.items()))
-
+        return f"{as_text(value(tuple(path.split('.'))), holder(()))} AS {quoted(name)}"
 
-def _holder(parent: tuple[str, ...]) -> str:
-    """Name of the column that holds the members of the object at ``parent``."""
-    return ".".join(("__members", *parent))
+    return df.selectExpr(*kept, *(text(name, path) for name, path in fields.items()))
 
 
 def flatten_payload(

@@ -106,8 +106,10 @@ def current_events(
         live.select(*dict.fromkeys(["document_id", "data", "timestamp", *unique])),
         [F.col(name).asc_nulls_first() for name in ("document_id", "data", "timestamp")],
         unique,
-        finish=lambda rows: document_fields(parse_payload(rows, "data", mode), {"__id": "id"}),
-    ).select("__id", "data", "timestamp", "indice")
+        finish=lambda rows: document_fields(parse_payload(rows, "data", mode), {"__id": "id"}).drop(
+            *({"document_id", *unique} - {"data", "timestamp"})
+        ),
+    )
     newest_first = [F.desc_nulls_last("timestamp"), F.asc("indice")]
     latest = latest_per_key(numbered, "__id", newest_first).drop("__id")
     flat = flatten_payload(latest, "data", mode, leaf)
