@@ -18,8 +18,11 @@ def parse_listed(text: Column, mode: str) -> Column:
 
     The parser stops after the first value it has read; inside a list it finds what follows.
     """
-    trimmed = F.btrim(text, F.lit(_JSON_SPACE))
-    is_object = trimmed.startswith("{") & trimmed.endswith("}")
+    # Trimming walks the text character by character, so it is left to texts that need it.
+    space = F.lit(_JSON_SPACE)
+    opens = text.startswith("{") | F.ltrim(text, space).startswith("{")
+    closes = text.endswith("}") | F.rtrim(text, space).endswith("}")
+    is_object = opens & closes
     listed = F.concat(F.lit("["), text, F.lit("]"))
     if mode == "fail":
         return F.when(is_object, F.parse_json(listed)).otherwise(_refused())
