@@ -78,6 +78,7 @@ def document_fields(
     elsewhere. The members of one object are taken in one step, level by level: looking each
     path up from the root costs several times as much.
     """
+
     def quoted(name: str) -> str:
         return "`" + name.replace("`", "``") + "`"
 

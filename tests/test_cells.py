@@ -28,8 +28,8 @@ def as_python(cell):
 
 def test_sheet_values_follow_python_numbers(spark):
     frame = spark.createDataFrame([(cell,) for cell in PLAIN], "cell string")
-    got = {row.cell: row.text for row in frame.select("cell", cells.sheet_value_text(F.col("cell")).alias("text")).collect()}
-    assert got == {cell: as_python(cell) for cell in PLAIN}
+    texts = frame.select("cell", cells.sheet_value_text(F.col("cell")).alias("text")).collect()
+    assert {row.cell: row.text for row in texts} == {cell: as_python(cell) for cell in PLAIN}
 
 
 def test_missing_sheet_cell_is_empty(spark):
