@@ -19,6 +19,8 @@ _SCALE_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # Rows of whole documents: a batch for Python stays a few megabytes.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "256",
 }
 
 
