@@ -208,10 +208,15 @@ def neighbour_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: st
     rows = rows.withColumn("__block", block if bounds else F.lit(0))
     # At most one row for each block.
     firsts = [tuple(r) for r in rows.groupBy("__block").agg(F.min("__key")).orderBy("__block").collect()]
-    before = {first: firsts[i - 1][0] for i, (_, first) in enumerate(firsts)}
-    borrower = F.lit(None).cast("int")
-    for first, to in before.items():
-        borrower = F.when(F.col("__key") == first, F.lit(to)).otherwise(borrower)
+    first: list[int | None] = [None] * (len(bounds) + 1)
+    to = [0] * (len(bounds) + 1)
+    for i, (own, key_of_first) in enumerate(firsts):
+        first[own], to[own] = key_of_first, firsts[i - 1][0]
+    place = F.col("__block") + 1
+    first_key = F.element_at(F.array(*[F.lit(k).cast("bigint") for k in first]), place)
+    borrower = F.when(
+        F.col("__key") == first_key, F.element_at(F.array(*[F.lit(k) for k in to]), place)
+    )
     dealt = (
         rows.withColumn("__to", borrower)
         .select(

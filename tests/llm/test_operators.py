@@ -1,0 +1,346 @@
+"""Each operator against brute force, an exact round trip or planted cases, and on odd tables."""
+
+import collections
+import hashlib
+import random
+import re
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+from tokenizers import Tokenizer
+
+import corpus_pipeline
+from foldlog.llm import bpe, lattice, licenses, lzprint, packing, perspectives, pii, repetition, signatures, toxicity
+from foldlog.llm.common import fold
+
+PATH = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
+ODD = [
+    (1, "alpha beta gamma delta " * 12, "x"),
+    (2, None, "x"),
+    (3, "", None),
+    (None, "one two three four five", "x"),
+    (5, "Ünï cödé   \n\n\t 漢字 <|endoftext|> a@b.co +1 (202) 555-0143", "x"),
+    (5, "Ünï cödé   \n\n\t 漢字 <|endoftext|> a@b.co +1 (202) 555-0143", "x"),
+    (6, "word " * 30_000, "x"),
+    (7, "z" * 50_000, "x"),
+]
+SCHEMA = "doc_id bigint, text string, token string"
+
+
+@pytest.fixture(scope="module")
+def odd(spark):
+    """Nulls, empty and very long texts, repeated rows, and a column whose name clashes."""
+    return spark.createDataFrame(ODD, SCHEMA).toDF("doc_id", "text", "score").repartition(2)
+
+
+@pytest.fixture(scope="module")
+def empty(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+def _longest(w, shortest):
+    n, out = len(w), [0] * len(w)
+    for i in range(n):
+        for j in range(n):
+            k = 0
+            while i != j and max(i, j) + k < n and w[i + k] == w[j + k]:
+                k += 1
+            out[i] = max(out[i], k)
+    return [x if x >= shortest else 0 for x in out]
+
+
+def test_repeats_equal_brute_force():
+    rng = random.Random(0)
+    for _ in range(80):
+        docs = [
+            [b"%d" % rng.randrange(rng.choice([1, 2, 9])) for _ in range(rng.randrange(30))] for _ in range(4)
+        ]
+        shortest = rng.choice([1, 2, 3, 5, 8])
+        for own, got in zip(docs, repetition.repetition_of(docs, shortest)):
+            length = _longest(own, shortest)
+            inside = {p for i, x in enumerate(length) for p in range(i, i + x)}
+            assert got[:2] == (len(inside), max(length, default=0))
+
+
+def test_repetition_counts(spark, odd, empty):
+    rows = {(r.doc_id, r.n_words): r for r in repetition.repetition_measures(odd).collect()}
+    assert len(repetition.repetition_measures(odd).collect()) == len(ODD)
+    assert rows[1, 48].n_repeat_words == 48 and not rows[1, 48].kept
+    assert rows[2, 0].base_failed and rows[None, 5].base_failed
+    assert repetition.repetition_measures(empty).count() == 0
+    clean = " ".join(f"w{i}" for i in range(200))
+    assert repetition.measure([clean])["kept"] == [True]
+    assert repetition.measure([f"{clean}\na b\na b\n \n \n#<"])["n_dup_lines"] == [1]
+
+
+def test_codec_equals_the_library(odd, empty):
+    library, own = Tokenizer.from_file(PATH), bpe.BytePairCodec(PATH)
+    rng = random.Random(1)
+    parts = ["a", " ", "  ", "\n", "\t", "\x1c", "\x85", "\xa0", "é", "漢", "1", "²", ".", "'s", "😀",
+             "​", " ", "<|endoftext|>", "<|", "the", " hello", "\x00", "́", "z" * 70, "ab" * 40]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randrange(25))) for _ in range(3000)]
+    flat, at = own.encode_batch(texts)
+    for text, a, b, wanted in zip(texts, at, at[1:], library.encode_batch(texts, add_special_tokens=False)):
+        assert flat[a:b].tolist() == wanted.ids
+        assert own.decode(flat[a:b].tolist()) == library.decode(wanted.ids, skip_special_tokens=False) == text
+    rows = bpe.round_trip_digests(odd, PATH).collect()
+    assert sorted(r.decoded_sha256 for r in rows) == sorted(
+        hashlib.sha256((t or "").encode()).hexdigest() for _, t, _ in ODD
+    )
+    assert bpe.round_trip_digests(empty, PATH).count() == 0
+    with pytest.raises(ValueError):
+        bpe.encode_texts(odd, PATH, ids_col="score")
+
+
+def test_forgetting_pieces_changes_nothing(monkeypatch):
+    texts = [f"word{i % 37} other{i} again" for i in range(300)]
+    whole = bpe.BytePairCodec(PATH).encode_batch(texts)
+    monkeypatch.setattr(bpe, "_CACHED", 20)
+    small = bpe.BytePairCodec(PATH)
+    parts = [small.encode_batch(texts[k : k + 30])[0] for k in range(0, 300, 30)]
+    assert np.concatenate(parts).tolist() == whole[0].tolist()
+
+
+def test_first_fit_decreasing_equals_brute_force():
+    rng = np.random.default_rng(0)
+    for _ in range(50):
+        lengths = rng.integers(1, 50, rng.integers(1, 60))
+        bins, offsets = packing.first_fit_decreasing(lengths, 50)
+        room: list[int] = []
+        for i in np.argsort(-lengths, kind="stable"):
+            b = next((k for k, free in enumerate(room) if free >= lengths[i]), len(room))
+            if b == len(room):
+                room.append(50)
+            assert (bins[i], offsets[i]) == (b, 50 - room[b])
+            room[b] -= lengths[i]
+
+
+def test_packing_places_every_id_once(spark, odd, empty):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    library = Tokenizer.from_file(PATH)
+    wanted = {r.doc_id: [*library.encode(r.text, add_special_tokens=False).ids, 0] for r in docs.collect()}
+    rows = packing.packed_documents(docs, PATH).collect()
+    by_doc, by_sequence = collections.defaultdict(list), collections.defaultdict(list)
+    for r in rows:
+        ids = wanted[r.doc_id][r.start : r.start + r.length]
+        assert len(ids) == r.length and zlib.crc32(np.array(ids, "<u4").tobytes()) == r.ids_crc32
+        assert r.doc_tokens == len(wanted[r.doc_id])
+        by_doc[r.doc_id].append((r.start, r.length))
+        by_sequence[r.sequence_id].append((r.offset, r.length))
+    for spans, total in [*((v, len(wanted[k])) for k, v in by_doc.items()), *((v, None) for v in by_sequence.values())]:
+        end = 0
+        for start, length in sorted(spans):
+            assert start == end
+            end += length
+        assert end == total or total is None and end <= 1024
+    assert set(by_doc) == set(wanted)
+    used = sum(map(len, wanted.values()))
+    assert used / (1024 * len(by_sequence)) > 0.95
+    assert packing.packed_documents(empty, PATH).count() == 0
+    assert {r.doc_id for r in packing.packed_documents(odd, PATH).collect()} == {d for d, _, _ in ODD}
+
+
+def test_fingerprints(spark, odd, empty):
+    def plain(text):
+        seen, phrase, out = set(), "", []
+        for c in text:
+            phrase += c
+            if phrase not in seen:
+                seen.add(phrase)
+                out.append(phrase)
+                phrase = ""
+        return out
+
+    for text in ["", "a", "aaaa", "abababab", "the cat the cat the bat " * 9]:
+        assert lzprint.parse(text, set()) == plain(text)
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    texts = dict(sorted((r.doc_id, r.text) for r in docs.collect()))
+    ids = list(texts)
+    rows = {r.doc_id: r for r in lzprint.neighbour_fingerprints(docs).collect()}
+    assert set(rows) == set(ids)
+    of = {i: lzprint.smallest(lzprint.phrase_hashes(plain(t))) for i, t in texts.items()}
+    for k, i in enumerate(ids):
+        nxt, half = ids[(k + 1) % len(ids)], len(texts[i]) // 2
+        edited = texts[i][: len(texts[i]) - half] + texts[nxt][:half]
+        wanted = lzprint.smallest(lzprint.phrase_hashes(plain(edited)))
+        r = rows[i]
+        assert r.edited_sha256 == hashlib.sha256(edited.encode()).hexdigest()
+        assert (r.fingerprint, r.edited_fingerprint) == (lzprint.to_hex(of[i]), lzprint.to_hex(wanted))
+        assert r.near_next == lzprint.likeness(of[i], of[nxt])
+    assert lzprint.neighbour_fingerprints(odd).count() == len(ODD)
+    assert lzprint.neighbour_fingerprints(empty).count() == 0
+
+
+def _base(text):
+    out = []
+    for kind, pattern in (
+        ("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"),
+        ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"),
+        ("card", r"[0-9]([\x20-]?[0-9])+"),
+        ("phone", r"\+[0-9][\x20().0-9-]+[0-9]"),
+    ):
+        for m in re.finditer(pattern, text):
+            own, digits = m.group(), re.sub("[^0-9]", "", m.group())
+            if kind == "ip" and any(int(p) > 255 for p in own.split(".")):
+                continue
+            if kind == "card" and not (12 <= len(digits) <= 19 and pii.luhn(digits)):
+                continue
+            if kind == "phone" and not 9 <= len(digits) <= 15:
+                continue
+            out.append((kind, *m.span()))
+    return sorted(out, key=pii._order)
+
+
+def test_base_spans_equal_the_plain_patterns():
+    rng = random.Random(2)
+    for _ in range(5000):
+        text = "".join(rng.choice("ab.@-+ 01234567891(.)..@") for _ in range(rng.randrange(60)))
+        assert pii.base_spans(text) == _base(text)
+
+
+def test_pii_adds_spans_and_keeps_base_ones(spark, odd, empty):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = pii.fit_pii_model(docs)
+    for text in ("ip 10[.]0[.]0[.]1 x", "mail joe at example dot com now", "4111.1111.1111.1111"):
+        assert pii.judged_spans(text, model)[1]
+    assert not pii.judged_spans("look at the end. of it, since 12 or 13", model)[1]
+    assert pii.redact("to a@b.co now", model) == "to [EMAIL] now" and pii.redact(None, model) is None
+    for r in pii.pii_spans(docs, model).join(docs.select("doc_id", "text"), "doc_id").collect():
+        base = _base(r.text)
+        assert r.base_sha256 == hashlib.sha256(pii.listed(base).encode()).hexdigest()
+        assert set(filter(None, pii.listed(base).split(","))) <= set(r.spans.split(","))
+    assert pii.pii_spans(odd, pii.fit_pii_model(empty)).count() == len(ODD)
+    assert pii.redacted(odd, model).columns == odd.columns
+
+
+def test_lattice_sums_all_segmentations():
+    names = ["▁a", "a", "b", "ab", "▁ab", "▁", *(f"<0x{b:02X}>" for b in range(256))]
+    own = lattice.Lattice(names, [np.log(1 / len(names))] * len(names))
+    p = 1 / len(names)
+    # ▁ab: one piece; ▁a+b, ▁+ab: two; ▁+a+b: three.
+    assert own.word_log(b"ab") == pytest.approx(np.log(p + 2 * p**2 + p**3))
+    assert sum(v for _, v in own.expected("ab")) == pytest.approx((p + 4 * p**2 + 3 * p**3) / (p + 2 * p**2 + p**3))
+    assert own.word_log("é".encode()) == pytest.approx(np.log(p**3))
+
+
+def test_lattice_scores(spark, odd, empty):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    held = fold("doc_id", 7) == 2
+    rows = docs.collect()
+    out = {r.doc_id: r for r in lattice.lattice_scores(docs, held, PIECES).collect()}
+    counts = collections.Counter()
+    for r in rows:
+        if zlib.crc32(str(r.doc_id).encode()) % 7 != 2:
+            counts.update([*r.text.encode().lower().split(), b""])
+    n, v = sum(counts.values()), len(counts)
+    for r in rows:
+        own = [*r.text.encode().lower().split(), b""]
+        got = out[r.doc_id]
+        assert got.held_out == (zlib.crc32(str(r.doc_id).encode()) % 7 == 2)
+        assert (got.n_tokens, got.n_known, got.train_tokens) == (len(own), sum(counts[w] > 0 for w in own), n)
+        assert got.base_score == pytest.approx(sum(np.log10((counts[w] + 1) / (n + v + 1)) for w in own))
+        assert got.score < 0
+    assert lattice.lattice_scores(odd, held, PIECES).count() == len(ODD)
+    assert lattice.lattice_scores(empty, held, PIECES).count() == 0
+
+
+def test_words_outside_the_head_are_joined(spark, monkeypatch):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    held = fold("doc_id", 7) == 2
+    whole = {r.doc_id: (r.n_known, round(r.base_score, 6)) for r in lattice.lattice_scores(docs, held, PIECES).collect()}
+    monkeypatch.setattr(lattice, "HEAD_WORDS", 10)
+    small = {r.doc_id: (r.n_known, round(r.base_score, 6)) for r in lattice.lattice_scores(docs, held, PIECES).collect()}
+    assert small == whole
+
+
+def test_perspectives(spark):
+    turns = spark.createDataFrame(
+        [(1, 0, "system", "s"), (1, 1, "ann", "hi"), (1, 2, None, None), (1, 1, "ann", "hi"), (None, 1, "ann", "x"), (2, 0, "system", "s")],
+        "conv_id bigint, turn bigint, role string, text string",
+    ).selectExpr("*", "'clash' AS perspective")
+    rows = perspectives.rotate_perspectives(turns).collect()
+    assert collections.Counter(r.perspective for r in rows) == {"ann": 4, "unknown": 4}
+    ann = [r for r in rows if r.perspective == "ann" and r.name == "ann"]
+    assert all(r.rendered[r.mask_start : r.mask_end] == "hi<|im_end|>\n" for r in ann) and len(ann) == 2
+    other = next(r for r in rows if r.perspective == "ann" and r.name == "unknown")
+    assert other.rendered == "<|im_start|>user name=unknown\n<|im_end|>\n" and other.mask_start == other.mask_end
+    assert perspectives.rotate_perspectives(turns.limit(0)).count() == 0
+
+
+def test_licenses(spark, odd, empty):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    shingle = lambda t: [tuple(w[i : i + 3]) for w in [re.findall("[a-z0-9]+", t.lower())] for i in range(len(w) - 2)]
+    wanted = set()
+    for r in docs.collect():
+        own = shingle(r.text)
+        for name, text in licenses.TEMPLATES.items():
+            known = set(shingle(text))
+            if any(s in known and len(known & set(own[i : i + len(known) + 6])) >= 0.8 * len(known) for i, s in enumerate(own)):
+                wanted.add((r.doc_id, name))
+    got = {(r.doc_id, r.license) for r in licenses.scan_licenses(docs).collect()}
+    assert got == wanted and got
+    assert licenses.scan_licenses(odd).count() == 0 and licenses.scan_licenses(empty).count() == 0
+    text = licenses.TEMPLATES["MIT-text"].replace("sublicense", "resell")
+    one = licenses.scan_licenses(spark.createDataFrame([(9, f"x y z\n# {text}\nend", "")], SCHEMA)).collect()
+    assert [(r.doc_id, r.license, r.first_word) for r in one] == [(9, "MIT-text", 3)]
+
+
+def test_string_kernel_machine(spark, odd, empty):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
+    model = toxicity.fit_toxicity(docs, labels)
+    rows = toxicity.toxicity_scores(docs, model).join(labels, "doc_id").where(fold("doc_id", 5) == 0).collect()
+    toxic = np.array([r.score for r in rows if r.toxic])
+    clean = np.array([r.score for r in rows if not r.toxic])
+    assert (toxic[:, None] > clean[None, :]).mean() > 0.85
+    assert (clean < 0.5).mean() > 0.95
+    plain, dotted, spaced, kind = toxicity.scores_of(["you idiot", "you i-d.i-o-t", "you i d i o t", "you friend"], model)
+    assert plain == pytest.approx(dotted) == pytest.approx(spaced) and plain > 0.3 > kind
+    left = toxicity.token_scores(*toxicity.letter_codes("id" + "x" + "iot"), model.table())
+    other = toxicity.token_scores(*toxicity.letter_codes("ingthe"), model.table())
+    assert left[0] > other[0]
+    assert toxicity.toxicity_scores(odd, toxicity.fit_toxicity(empty, labels.limit(0))).count() == len(ODD)
+
+
+@pytest.mark.parametrize(("width", "percent"), [(4, 85), (5, 80)])
+def test_signature_tree_join_equals_brute_force(spark, odd, empty, width, percent, monkeypatch):
+    monkeypatch.setattr(signatures, "BLOCK", 4)
+    rng = random.Random(3)
+    texts = {}
+    for c in range(6):
+        base = [f"w{c}_{i}" for i in range(rng.choice([3, 30, 120]))] + [f"common{i}" for i in range(20)]
+        for k in range(12):
+            own = list(base)
+            for _ in range(rng.randrange(0, 5)):
+                own[rng.randrange(len(own))] = f"e{rng.randrange(3)}"
+            texts[100 * c + k] = " ".join(own)
+    docs = spark.createDataFrame([(i, t, "") for i, t in texts.items()], SCHEMA)
+    ids = list(texts)
+    sets = dict(zip(ids, (set(s.tolist()) for s in signatures.shingle_sets(list(texts.values()), width, signatures._WordHashes()))))
+    root = {i: i for i in ids}
+    for _ in ids:
+        for a in ids:
+            for b in ids:
+                both = len(sets[a] & sets[b])
+                if a != b and sets[a] and 100 * both >= percent * len(sets[a] | sets[b]):
+                    root[a] = root[b] = min(root[a], root[b])
+    got = {r.doc_id: r.component_id for r in signatures.jaccard_components(docs, width=width, percent=percent).collect()}
+    assert got == root
+    rows = signatures.jaccard_components(odd).collect()
+    assert len(rows) == len(ODD) and [r.component_id for r in rows if r.doc_id is None] == [None]
+    assert signatures.jaccard_components(empty).count() == 0
+
+
+def test_pipeline(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    kept = corpus_pipeline.quality_rules(spark, docs, "")
+    verdicts = repetition.repetition_measures(docs).where("kept").select("doc_id")
+    assert kept.columns == docs.columns and kept.count() == verdicts.count() > 0
+    single = corpus_pipeline.near_duplicates(spark, kept, "")
+    found = signatures.jaccard_components(kept, width=5, percent=80)
+    assert {r.doc_id for r in single.collect()} == {r.component_id for r in found.collect()}
+    rows = corpus_pipeline.run(spark, "/root/testdata/sf0.01").collect()
+    assert {r.doc_id for r in rows} <= {r.doc_id for r in single.collect()} and rows
