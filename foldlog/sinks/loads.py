@@ -5,6 +5,42 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
+
+from foldlog.staging import stage
+
+# Whole numbers by width; a decimal or floating target holds what is listed before it.
+_WHOLE = ["tinyint", "smallint", "int", "bigint"]
+
+
+def _fits(source: T.DataType, target: T.DataType) -> bool:
+    """Whether every value of ``source`` can be stored as ``target`` without loss."""
+    a, b = source.simpleString(), target.simpleString()
+    if a == b or a == "void" or b == "string":
+        return True
+    if a in _WHOLE:
+        if b in _WHOLE:
+            return _WHOLE.index(a) <= _WHOLE.index(b)
+        if isinstance(target, T.DecimalType):
+            return target.precision - target.scale >= [3, 5, 10, 19][_WHOLE.index(a)]
+        return b == "double" and a != "bigint" or b == "float" and a in _WHOLE[:2]
+    if isinstance(source, T.DecimalType) and isinstance(target, T.DecimalType):
+        return (
+            target.scale >= source.scale and target.precision - target.scale >= source.precision - source.scale
+        )
+    return (a, b) in {("float", "double"), ("date", "timestamp"), ("date", "timestamp_ntz")}
+
+
+def _check_types(source: DataFrame, fields: list[T.StructField], names: Sequence[str] | None) -> None:
+    """Refuse a load that would narrow values. By name, or by position to ``names``."""
+    target = {f.name.lower(): f for f in fields}
+    for k, field in enumerate(source.schema.fields):
+        into = target.get((names[k] if names else field.name).lower())
+        if into is not None and not _fits(field.dataType, into.dataType):
+            raise ValueError(
+                f"column {into.name!r} is {into.dataType.simpleString()}; "
+                f"values of type {field.dataType.simpleString()} do not fit"
+            )
 
 
 def _load(df: DataFrame, table: str, mode: str, fmt: str, path: str | None) -> None:
@@ -15,17 +51,37 @@ def _load(df: DataFrame, table: str, mode: str, fmt: str, path: str | None) -> N
 
 
 def append_load(df: DataFrame, table: str, fmt: str = "parquet", path: str | None = None) -> None:
-    """Add the rows to a table, which is created when missing. A second run adds them again."""
+    """Add the rows to a table, which is created when missing. A second run adds them again.
+
+    A column whose values need not fit the table's type, such as fractions for whole numbers, is
+    refused before anything is written.
+    """
+    spark = df.sparkSession
+    if spark.catalog.tableExists(table):
+        _check_types(df, spark.table(table).schema.fields, None)
     _load(df, table, "append", fmt, path)
 
 
 def replace_load(df: DataFrame, table: str, fmt: str = "parquet", path: str | None = None) -> None:
-    """Make the rows the whole content of a table, in one overwrite."""
-    _load(df, table, "overwrite", fmt, path)
+    """Make the rows the whole content of a table.
+
+    The rows are worked out and written to the shared folder first, so a source that fails leaves
+    the table as it was. A table that has the same columns keeps its partitioning and properties.
+    """
+    spark = df.sparkSession
+    ready = stage(df, "replace")
+    if path is None and spark.catalog.tableExists(table):
+        known = spark.table(table).schema
+        if [(f.name, f.dataType) for f in known] == [(f.name, f.dataType) for f in ready.schema]:
+            ready.write.insertInto(table, overwrite=True)
+            return
+    _load(ready, table, "overwrite", fmt, path)
 
 
 def insert_rows(source: DataFrame, table: str, columns: Sequence[str]) -> None:
-    """Insert into the named columns of a table, matched by position."""
+    """Insert into the named columns of a table, matched by position. Values that need not fit the
+    columns' types are refused."""
+    _check_types(source, source.sparkSession.table(table).schema.fields, columns)
     names = ", ".join(f"`{name}`" for name in columns)
     source.sparkSession.sql(
         f"INSERT INTO IDENTIFIER(:target) ({names}) SELECT * FROM {{source}}",
