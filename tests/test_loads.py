@@ -21,7 +21,7 @@ def test_insert_refuses_fractions_for_whole_numbers(spark):
 
 
 def test_failed_replace_keeps_the_table(spark):
-    spark.sql("CREATE TABLE loads_r (id BIGINT) USING parquet TBLPROPERTIES ('owner' = 'me')")
+    spark.sql("CREATE TABLE loads_r (id BIGINT) USING parquet TBLPROPERTIES ('made.by' = 'me')")
     append_load(spark.range(2), "loads_r")
     bad = spark.range(5).select(F.when(F.col("id") < 4, F.col("id")).otherwise(F.raise_error("no")).cast("bigint").alias("id"))
     with pytest.raises(Exception, match="no"):
@@ -30,4 +30,4 @@ def test_failed_replace_keeps_the_table(spark):
     replace_load(spark.range(5), "loads_r")
     assert spark.table("loads_r").count() == 5
     shown = {r.key: r.value for r in spark.sql("SHOW TBLPROPERTIES loads_r").collect()}
-    assert shown.get("owner") == "me"
+    assert shown.get("made.by") == "me"
