@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from foldlog.llm.common import map_columns
+from foldlog.llm.common import map_columns, release_memory
 
 #: The kinds in the order in which they are listed, the characters of an address,
 #: the strict patterns, and words that speak for a kind when they stand before a span.
@@ -470,5 +470,7 @@ def redacted(docs: DataFrame, model: PiiModel, text_col: str = "text") -> DataFr
             k = batch.schema.get_field_index(text_col)
             texts = [redact(t, own) for t in batch.column(k).to_pylist()]
             yield batch.set_column(k, batch.schema.field(k), pa.array(texts, batch.schema.field(k).type))
+        batch = texts = None
+        release_memory()
 
     return docs.mapInArrow(run, docs.schema)
