@@ -8,11 +8,17 @@ from pyspark.sql import functions as F
 # Output formats of the report.
 DAY_FIRST = "dd/MM/yyyy HH:mm:ss"
 ISO_DATE = "yyyy-MM-dd"
+# Epoch seconds of the first moment of year 1 and of year 10000.
+_FIRST, _END = -62135596800, 253402300800
 
 
 def epoch_to_timestamp(seconds: Column) -> Column:
-    """Epoch seconds, as number or text, to a timestamp; text that is no number gives NULL."""
-    return F.timestamp_seconds(seconds.try_cast("decimal(20,6)"))
+    """Epoch seconds, as number or text, to a timestamp.
+
+    Text that is no number and seconds outside the years 1 to 9999 give NULL.
+    """
+    number = seconds.try_cast("decimal(20,6)")
+    return F.timestamp_seconds(F.when((number >= _FIRST) & (number < _END), number))
 
 
 def epoch_to_text(seconds: Column) -> Column:

@@ -53,7 +53,7 @@ def test_timestamp_text_is_that_of_pandas(spark, moment):
     assert text == pd.Series(pd.to_datetime([moment], utc=True)).astype(str)[0]
 
 
-@pytest.mark.parametrize("seconds", ["1700000000", "0", "-1", "1.5", "", "abc", None, "60 "])
+@pytest.mark.parametrize("seconds", ["1700000000", "0", "-1", "1.5", "", "abc", None, "60 ", "99999999999999", "253402300799", "253402300800", "-62135596800", "-62135596801"])
 def test_epoch_text(spark, seconds):
     expected = {
         "1700000000": "14/11/2023 22:13:20",
@@ -61,6 +61,8 @@ def test_epoch_text(spark, seconds):
         "-1": "31/12/1969 23:59:59",
         "1.5": "01/01/1970 00:00:01",
         "60 ": "01/01/1970 00:01:00",
+        "253402300799": "31/12/9999 23:59:59",
+        "-62135596800": "01/01/0001 00:00:00",
     }
     frame = spark.createDataFrame([(seconds,)], "s string")
     assert frame.select(times.epoch_to_text(F.col("s"))).first()[0] == expected.get(seconds)
