@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import SparkSession
 
 from foldlog.sinks.loads import append_load, replace_load
@@ -26,7 +28,9 @@ def ingest_csv(
     chosen = newest_file(matching).first()
     if chosen is None:
         return None
-    append_load(read_csv(spark, chosen["id"]), table, fmt, path)
+    # Readers take a path for a pattern; the chosen file is meant literally.
+    literal = re.sub(r"([\[\]{}*?\\])", r"\\\1", chosen["id"])
+    append_load(read_csv(spark, literal), table, fmt, path)
     return chosen["id"]
 
 

@@ -111,6 +111,16 @@ def test_newest_matching_file(spark, tmp_path):
     assert [row.a for row in spark.table("kit_table").collect()] == [3, 3]
 
 
+@pytest.mark.parametrize("name", ["KIT[1].csv", "KIT{x,y}.csv", "KIT*.csv", "KIT?.csv"])
+def test_chosen_file_is_no_pattern(spark, tmp_path, name):
+    write(tmp_path, "KIT1.csv", "a\n1\n", age=9)
+    write(tmp_path, "KITx.csv", "a\n2\n", age=9)
+    write(tmp_path, name, "a\n3\n")
+    table = f"literal_{abs(hash(name))}"
+    assert ingest_csv(spark, str(tmp_path), "KIT", table, path=str(tmp_path / "out_table")).endswith(name)
+    assert [row.a for row in spark.table(table).collect()] == [3]
+
+
 def test_listing_predicates(spark):
     listing = spark.createDataFrame(
         [
