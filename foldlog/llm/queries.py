@@ -15,7 +15,9 @@ from foldlog.llm.lzprint import neighbour_fingerprints
 from foldlog.llm.packing import packed_documents
 from foldlog.llm.perspectives import PERSPECTIVES_SQL, rotate_perspectives
 from foldlog.llm.pii import fit_pii_model, pii_spans
+from foldlog.llm.planes import CLUSTERS_SQL, cluster_vectors
 from foldlog.llm.repetition import repetition_measures
+from foldlog.llm.scanning import SEARCH_SQL, ranked_search
 from foldlog.llm.signatures import jaccard_components
 from foldlog.llm.toxicity import fit_toxicity, toxicity_scores
 
@@ -74,6 +76,14 @@ def op10_pii_boosting(spark: SparkSession, folder: str) -> DataFrame:
     return pii_spans(docs, fit_pii_model(docs))
 
 
+def op12_bit_plane_clusters(spark: SparkSession, folder: str) -> DataFrame:
+    return cluster_vectors(_table(spark, folder, "embeddings"))
+
+
+def op13_automaton_search(spark: SparkSession, folder: str) -> DataFrame:
+    return ranked_search(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
 QUERIES = {
     query.__name__: query
     for query in (
@@ -87,8 +97,14 @@ QUERIES = {
         op8_signature_tree_join,
         op9_lz_fingerprint,
         op10_pii_boosting,
+        op12_bit_plane_clusters,
+        op13_automaton_search,
     )
 }
 
 #: For the others see the brute-force, round-trip and held-out tests in tests/llm.
-ORACLE = {"op3_perspective_rotation": PERSPECTIVES_SQL}
+ORACLE = {
+    "op3_perspective_rotation": PERSPECTIVES_SQL,
+    "op12_bit_plane_clusters": CLUSTERS_SQL,
+    "op13_automaton_search": SEARCH_SQL,
+}
