@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foldlog import configure
+from foldlog.llm.bbit import near_duplicates
 from foldlog.llm.bpe import round_trip_digests
 from foldlog.llm.common import fold
 from foldlog.llm.lattice import lattice_scores
@@ -76,6 +77,10 @@ def op10_pii_boosting(spark: SparkSession, folder: str) -> DataFrame:
     return pii_spans(docs, fit_pii_model(docs))
 
 
+def op11_b_bit_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    return near_duplicates(_table(spark, folder, "documents"))
+
+
 def op12_bit_plane_clusters(spark: SparkSession, folder: str) -> DataFrame:
     return cluster_vectors(_table(spark, folder, "embeddings"))
 
@@ -97,6 +102,7 @@ QUERIES = {
         op8_signature_tree_join,
         op9_lz_fingerprint,
         op10_pii_boosting,
+        op11_b_bit_minhash,
         op12_bit_plane_clusters,
         op13_automaton_search,
     )
