@@ -123,7 +123,7 @@ ORACLE = {
     "flatten_payload": f"""SELECT event_id, data, json_extract_string(props, '$.k') AS props_k,
         '' AS props_missing, {_FLAT}
         FROM (SELECT event_id, props, {_PAYLOAD} AS data FROM events)""",
-    "global_ordinal": """SELECT o_custkey, o_orderdate, o_orderkey, CAST(row_number() OVER
+    "global_ordinal": """SELECT *, CAST(row_number() OVER
         (ORDER BY o_custkey NULLS FIRST, o_orderdate NULLS FIRST, o_orderkey) AS BIGINT) AS indice
         FROM orders""",
     "latest_live": """SELECT * FROM orders o WHERE NOT EXISTS (SELECT 1 FROM orders d
@@ -148,7 +148,7 @@ ORACLE = {
     "quality_report": _REPORT,
     "register_rows": _SHEET,
     "replace_load": "SELECT * REPLACE (upper(c_name) AS c_name) FROM customer",
-    "running_count": """SELECT user_id, ts, event_id, CAST(row_number() OVER
+    "running_count": """SELECT *, CAST(row_number() OVER
         (PARTITION BY user_id ORDER BY ts DESC NULLS LAST, event_id) AS BIGINT) AS running_count
         FROM events""",
     "stringify_all": f"""SELECT CAST(event_id AS VARCHAR) AS event_id, {_ISO} AS ts, event_type,

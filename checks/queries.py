@@ -36,14 +36,13 @@ def live_rows(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def global_ordinal(spark: SparkSession, folder: str) -> DataFrame:
-    orders = table(spark, folder, "orders").select("o_custkey", "o_orderdate", "o_orderkey")
-    order = [F.asc_nulls_first("o_custkey"), F.asc_nulls_first("o_orderdate")]
-    return ordinals.global_ordinal(orders, order, ["o_orderkey"])
+    order = [ordinals.ascending("o_custkey"), ordinals.ascending("o_orderdate")]
+    return ordinals.global_ordinal(table(spark, folder, "orders"), order, ["o_orderkey"])
 
 
 def running_count(spark: SparkSession, folder: str) -> DataFrame:
-    events = table(spark, folder, "events").select("user_id", "ts", "event_id")
-    return ordinals.running_count(events, "user_id", [F.desc_nulls_last("ts")], ["event_id"])
+    order = [ordinals.descending("ts")]
+    return ordinals.running_count(table(spark, folder, "events"), "user_id", order, ["event_id"])
 
 
 def latest_per_key(spark: SparkSession, folder: str) -> DataFrame:

@@ -43,3 +43,12 @@ def latest_per_key(df: DataFrame, key: str, newest_first: Sequence[Column]) -> D
         .filter(F.col(_RANK) == 1)
         .drop(_RANK)
     )
+
+
+def require_unique(rows: DataFrame, columns: Sequence[str]) -> None:
+    """Raise ValueError where a value of the columns is NULL or occurs twice."""
+    null = F.coalesce(*(F.when(F.col(name).isNull(), F.lit(True)) for name in columns), F.lit(False))
+    found = rows.groupBy(*columns).agg(F.count(F.lit(1)).alias("__rows")).where(null | (F.col("__rows") > 1))
+    example = found.limit(1).collect()
+    if example:
+        raise ValueError(f"{', '.join(columns)} must tell all rows apart; not so: {tuple(example[0])[:-1]}")

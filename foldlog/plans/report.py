@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from foldlog.functions.times import epoch_to_text
-from foldlog.operators.changelog import deleted_keys, latest_per_key, live_rows
-from foldlog.operators.ordinals import global_ordinal
+from foldlog.operators.changelog import deleted_keys, latest_per_key, live_rows, require_unique
+from foldlog.operators.ordinals import ascending, global_ordinal
 from foldlog.operators.payload import document_fields, flatten_payload, parse_payload
 from foldlog.operators.shape import (
     null_to_default,
@@ -98,20 +98,20 @@ def current_events(
 ) -> DataFrame:
     """Latest event per payload id, numbered among all live rows, under report names.
 
-    ``unique`` names the log columns that settle ties between equal rows. Only the id is read
-    from every payload; the other fields are read from the rows that stay.
+    ``unique`` names the log columns that tell all rows apart and settle ties between equal ones;
+    a repeated or NULL value there is refused. The latest rows are found first, by an order that
+    the ordinals follow, so ordinals are staged beside ``unique`` alone and joined to the rows that
+    stay: no payload is staged. Only the id is read from every payload.
     """
-    live = live_rows(log, deleted_keys(log))
-    numbered = global_ordinal(
-        live.select(*dict.fromkeys(["document_id", "data", "timestamp", *unique])),
-        [F.col(name).asc_nulls_first() for name in ("document_id", "data", "timestamp")],
-        unique,
-        finish=lambda rows: document_fields(parse_payload(rows, "data", mode), {"__id": "id"}).drop(
-            *({"document_id", *unique} - {"data", "timestamp"})
-        ),
-    )
-    newest_first = [F.desc_nulls_last("timestamp"), F.asc("indice")]
-    latest = latest_per_key(numbered, "__id", newest_first).drop("__id")
+    columns = ["document_id", "data", "timestamp"]
+    live = live_rows(log, deleted_keys(log)).select(*dict.fromkeys([*columns, *unique]))
+    order = [ascending(name) for name in columns]
+    ordinals = global_ordinal(live, order, unique, finish=lambda rows: rows.drop(*set(columns) - set(unique)))
+    require_unique(ordinals, unique)
+    total = [*order, *(ascending(name) for name in unique)]
+    newest_first = [F.desc_nulls_last("timestamp"), *(key.sorted(key.column()) for key in total)]
+    named = document_fields(parse_payload(live, "data", mode), {"__id": "id"})
+    latest = latest_per_key(named, "__id", newest_first).drop("__id").join(ordinals, list(unique))
     flat = flatten_payload(latest, "data", mode, leaf)
     dated = null_to_default(flat, {"finalizedAt": 0, "tracingAt": 0, "processAt": 0}).withColumns(
         {

@@ -60,10 +60,11 @@ def staged_tables(spark: SparkSession) -> Iterator[None]:
     finally:
         _open_scope.reset(token)
         for path in paths:
-            _drop(spark, path)
+            drop_path(spark, path)
 
 
-def _drop(spark: SparkSession, path: str) -> None:
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder wherever Spark can write; one that is missing is no error."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     hadoop_conf = spark.sparkContext._jsc.hadoopConfiguration()
     target.getFileSystem(hadoop_conf).delete(target, True)
