@@ -99,24 +99,26 @@ def test_empty_table(spark):
     assert bbit.near_duplicates(spark.createDataFrame([], "doc_id bigint, text string")).count() == 0
 
 
+@pytest.mark.parametrize("minima, bits", [(bbit.MINIMA, bbit.BITS), (bbit.LONG, 1)])
 @pytest.mark.parametrize("share", [0.0, 0.3, 0.7, 0.85, 0.95])
-def test_estimate_is_unbiased_and_as_sharp_as_promised(spark, share):
+def test_estimate_is_unbiased_and_as_sharp_as_promised(spark, share, minima, bits):
     rng = np.random.default_rng(int(share * 100))
     rows = []
-    for _ in range(300):
+    for _ in range(200):
         both, own = round(400 * share), (400 - round(400 * share)) // 2
         common = _hashes(rng, both)
         sets = [np.concatenate((common, _hashes(rng, own))) for _ in range(2)]
-        minima = np.array([bbit.minima_of(s) for s in sets])
-        rows.append(tuple(x.tolist() for x in bbit.packed_bits(minima)))
+        signed = bbit.packed_bits(np.array([bbit.minima_of(s, minima) for s in sets]), bits)
+        rows.append(tuple(x.tolist() for x in signed))
     df = spark.createDataFrame(rows, "x array<bigint>, y array<bigint>")
-    seen = [r.e for r in df.select(bbit.estimated(F.col("x"), F.col("y")).alias("e")).collect()]
-    agree = 1 / 16 + 15 / 16 * share
-    spread = (agree * (1 - agree) / bbit.MINIMA) ** 0.5 * 16 / 15
-    assert abs(np.mean(seen) - share) < 5 * spread / 300**0.5 + 0.003
-    assert np.std(seen) < 1.2 * spread + 1e-9
+    seen = [r.e for r in df.select(bbit.estimated(F.col("x"), F.col("y"), minima, bits).alias("e")).collect()]
+    chance = 2.0**-bits
+    agree = chance + (1 - chance) * share
+    spread = (agree * (1 - agree) / minima) ** 0.5 / (1 - chance)
+    assert abs(np.mean(seen) - share) < 5 * spread / 200**0.5 + 0.003
+    assert np.std(seen) < 1.25 * spread + 1e-9
     if share == 0.85:
-        assert min(seen) > bbit.least_estimate(85)
+        assert min(seen) > bbit.least_estimate(85, minima, bits)
 
 
 def test_bands_meet_as_often_as_computed():
