@@ -39,7 +39,7 @@ def change_log(spark: SparkSession, folder: str) -> DataFrame:
         F.col("user_id").cast("string").alias("document_id"),
         F.when(is_delete, "DELETE").otherwise("UPDATE").alias("operation"),
         F.expr(SPARK_PAYLOAD).alias("data"),
-        F.col("ts").alias("timestamp"),
+        F.col("ts").cast("timestamp").alias("timestamp"),
         "event_id",
     )
 

@@ -24,10 +24,22 @@ def _object(path: str) -> str:
     )
 
 
+# Top-level payload fields.
 _TOP = (
-    "workOrder id eventType state workShop miningOperation packageNumber question1 "
-    "enventDetail component partNumber generalImages correctiveActions"
-).split()
+    "workOrder",
+    "id",
+    "eventType",
+    "state",
+    "workShop",
+    "miningOperation",
+    "packageNumber",
+    "question1",
+    "enventDetail",
+    "component",
+    "partNumber",
+    "generalImages",
+    "correctiveActions",
+)
 _PATHS = {name: f"$.{name}" for name in _TOP} | {
     "observation": "$.analysis.observation",
     "process": "$.analysis.process",
@@ -55,8 +67,9 @@ def _moment(field: str, filled: bool) -> str:
     return f"strftime(make_timestamp(TRY_CAST({seconds} AS BIGINT) * 1000000), '{_DAY}')"
 
 
-_ISO = """strftime(ts, '%Y-%m-%d %H:%M:%S') ||
-  CASE WHEN microsecond(ts) % 1000000 = 0 THEN '' ELSE strftime(ts, '.%f') END || '+00:00'"""
+_LOCAL = """strftime(ts, '%Y-%m-%d %H:%M:%S') ||
+  CASE WHEN microsecond(ts) % 1000000 = 0 THEN '' ELSE strftime(ts, '.%f') END"""
+_ISO = f"{_LOCAL} || '+00:00'"
 
 _SHEET = """SELECT CAST(s_suppkey AS VARCHAR) AS id, 'state ' || s_nationkey AS estado_final,
   '' AS "Fecha_creacion",
@@ -97,6 +110,19 @@ SELECT id, "eventType" AS "TipoEvento", state AS estado_final, {_ISO} AS "Ultima
 FROM latest UNION ALL BY NAME ({_SHEET})"""
 
 ORACLE = {
+    "action_elements": """SELECT 'c' || c_custkey AS id, CAST(pos AS INTEGER) AS pos, key, corrective, created_at, closed_at
+        FROM (
+          SELECT c_custkey, pos, NULL AS key,
+            CASE pos WHEN 0 THEN 'fix ' || c_name END AS corrective,
+            CASE pos WHEN 0 THEN CAST(c_nationkey AS VARCHAR) WHEN 1 THEN '' END AS created_at,
+            CASE pos WHEN 0 THEN '' WHEN 1 THEN '0.5' END AS closed_at
+          FROM customer, (SELECT unnest([0, 1, 2]) AS pos) WHERE c_custkey % 4 = 0
+          UNION ALL
+          SELECT c_custkey, pos, CASE pos WHEN 0 THEN 'first' ELSE 'last' END,
+            CASE pos WHEN 0 THEN 'one' END, CASE pos WHEN 0 THEN '' END, CASE pos WHEN 0 THEN '' END
+          FROM customer, (SELECT unnest([0, 1]) AS pos) WHERE c_custkey % 4 = 1
+          UNION ALL
+          SELECT c_custkey, NULL, NULL, NULL, NULL, NULL FROM customer WHERE c_custkey % 4 > 1)""",
     "action_records": """SELECT 'd' || vec_id AS id, CASE WHEN label % 2 = 0 THEN
         '[' || array_to_string(list_transform(embedding,
           lambda x: CAST(floor(CAST(x AS FLOAT) * CAST(1000 AS FLOAT)) AS BIGINT)), ',') || ']'
@@ -104,6 +130,28 @@ ORACLE = {
     "append_load": "SELECT * FROM customer UNION ALL SELECT * FROM customer",
     "audit_row": """SELECT DISTINCT CAST(o_orderdate AS DATE) AS id_date,
         CAST(36 AS BIGINT) AS uuid_length, true AS stamped FROM orders""",
+    "audit_insert": """SELECT DISTINCT CAST(o_orderdate AS DATE) AS id_date,
+        CAST(36 AS BIGINT) AS uuid_length, true AS stamped FROM orders WHERE o_orderstatus = 'F'""",
+    "csv_job": """SELECT CAST(n_nationkey AS BIGINT) AS n_nationkey,
+        n_name || chr(10) || 'of region' AS "Unnamed: 1", CAST(n_regionkey AS BIGINT) AS "n_nationkey.1",
+        n_nationkey * CAST(0.5 AS DOUBLE) AS half FROM nation, range(2)""",
+    "distinct_report": """SELECT DISTINCT user_id, event_type, json_extract_string(props, '$.k') AS k FROM events""",
+    "file_listing": """SELECT '/region=' || n_regionkey || CASE WHEN name = 'trash' THEN '/Trash' ELSE '' END AS place,
+        kind AS mime_type, name = 'trash' AS trashed, name = 'wanted' AND n_regionkey = 1 AS chosen
+        FROM (SELECT DISTINCT n_regionkey FROM nation), (VALUES ('wanted', 'text/csv'),
+          ('json', 'application/json'), ('text', 'text/plain'), ('trash', 'text/csv')) AS v(name, kind)""",
+    "number_text": """SELECT event_id, '1234567890123456789012345678901234567890' || lpad(CAST(event_id AS VARCHAR), 7, '0') AS id,
+        event_id || '.5' AS half, event_id || '.0' AS whole, event_id % 9 + 1 || 'e+20' AS large,
+        event_id % 9 + 1 || 'e-07' AS small, CASE WHEN event_id % 2 = 0 THEN 'True' ELSE 'False' END AS flag,
+        CAST(value AS VARCHAR) AS value, event_id || '.0' AS quoted FROM events""",
+    "report_load": _REPORT,
+    "snapshot_load": """SELECT 'd' || vec_id AS id, CASE WHEN label % 2 = 0 THEN
+        '[' || array_to_string(list_transform(embedding,
+          lambda x: CAST(floor(CAST(x AS FLOAT) * CAST(1000 AS FLOAT)) AS BIGINT)), ',') || ']'
+        ELSE '' END AS "correctiveActions" FROM embeddings, range(2)""",
+    "sql_source": """SELECT o_custkey, count(*) AS orders, CAST(sum(l_quantity) AS DOUBLE) AS quantity
+        FROM orders JOIN lineitem ON o_orderkey = l_orderkey
+        WHERE l_returnflag = 'R' AND o_totalprice > 1000 GROUP BY o_custkey""",
     "csv_ingest": """SELECT c_custkey, 'the "' || c_name || '", ltd' AS c_name,
         CAST(nullif(c_nationkey, 7) AS BIGINT) AS c_nationkey, c_acctbal,
         CASE WHEN c_mktsegment NOT IN ('FURNITURE', 'MACHINERY') THEN c_mktsegment END AS c_mktsegment,
@@ -151,7 +199,8 @@ ORACLE = {
     "running_count": """SELECT *, CAST(row_number() OVER
         (PARTITION BY user_id ORDER BY ts DESC NULLS LAST, event_id) AS BIGINT) AS running_count
         FROM events""",
-    "stringify_all": f"""SELECT CAST(event_id AS VARCHAR) AS event_id, {_ISO} AS ts, event_type,
+    "stringify_all": f"""SELECT CAST(event_id AS VARCHAR) AS event_id, {_LOCAL} AS ts, {_ISO} AS at, event_type,
+        CAST(value AS VARCHAR) AS value, CASE WHEN value > 100 THEN 'True' ELSE 'False' END AS large,
         '{{"user_id":' || user_id || ',"event_type":"' || event_type || '"}}' AS nested FROM events""",
     "union_fill": """SELECT c_custkey AS id, c_name AS name, c_mktsegment AS segment, NULL AS kind
         FROM customer UNION ALL

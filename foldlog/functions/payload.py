@@ -10,6 +10,8 @@ from collections.abc import Iterable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from foldlog.functions.numbers import scalar_text
+
 _JSON_SPACE = " \t\r\n"
 
 
@@ -52,12 +54,28 @@ def members(value: str, names: Iterable[str]) -> str:
     return f"try_variant_get({value}, '$', 'struct<{fields}>')"
 
 
-def member_text(value: str, root: str) -> str:
-    """Text of a member: ``''`` when absent, NULL for JSON null, JSON text for lists and objects.
+def member_text(value: str, root: str, written: str | None = None) -> str:
+    """Text of a member: ``''`` when absent, NULL for JSON null, JSON text for lists and objects,
+    numbers and truth values as ``scalar_text`` has them.
 
     NULL as well where ``root``, the members of the whole document, is NULL.
     """
-    return f"if({value} IS NULL AND {root} IS NOT NULL, '', cast({value} AS string))"
+    text = f"cast({value} AS string)"
+    # Only numbers, truth values and texts that look like them begin or read like this.
+    special = f"ascii({text}) BETWEEN 45 AND 57 OR {text} IN ('true', 'false', 'Infinity')"
+    return (
+        f"CASE WHEN {value} IS NULL AND {root} IS NOT NULL THEN '' "
+        f"WHEN {special} THEN {scalar_text(value, text, written)} ELSE {text} END"
+    )
+
+
+def written_member(source: str, path: Iterable[str]) -> str | None:
+    """A member as it stands in a JSON text; None for names that such a path cannot hold."""
+    names = list(path)
+    if any(c in name for name in names for c in "'\\[]*"):
+        return None
+    place = "$" + "".join(f"[\\'{name}\\']" for name in names)
+    return f"get_json_object({source}, '{place}')"
 
 
 def object_text(value: str, root: str) -> str:

@@ -26,12 +26,16 @@ def epoch_to_text(seconds: Column) -> Column:
     return F.date_format(epoch_to_timestamp(seconds), DAY_FIRST)
 
 
-def timestamp_to_text(moment: Column) -> Column:
-    """UTC timestamp to ISO text with offset; six fraction digits, or none when zero."""
+def local_time_to_text(moment: Column) -> Column:
+    """ISO text without offset; six fraction digits, or none when zero."""
     whole = F.date_format(moment, "yyyy-MM-dd HH:mm:ss")
     micros = F.date_format(moment, "SSSSSS")
-    fraction = F.when(micros == "000000", F.lit("")).otherwise(F.concat(F.lit("."), micros))
-    return F.concat(whole, fraction, F.lit("+00:00"))
+    return F.concat(whole, F.when(micros == "000000", F.lit("")).otherwise(F.concat(F.lit("."), micros)))
+
+
+def timestamp_to_text(moment: Column) -> Column:
+    """UTC timestamp to ISO text with offset; six fraction digits, or none when zero."""
+    return F.concat(local_time_to_text(moment), F.lit("+00:00"))
 
 
 def date_to_text(day: Column) -> Column:

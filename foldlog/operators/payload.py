@@ -13,6 +13,7 @@ from foldlog.functions.payload import (
     object_text,
     only_element,
     parse_listed,
+    written_member,
 )
 
 # Payload fields of a quality event, as column and path.
@@ -69,13 +70,16 @@ def document_fields(
     fields: Mapping[str, str],
     document: str = _DOCUMENT,
     objects: Collection[str] = (),
+    source: str | None = None,
 ) -> DataFrame:
     """Add text columns read from a variant column, which is dropped.
 
     ``fields`` gives a dotted path per column. An absent value reads as ``''``, a JSON null as
     NULL, lists and objects as JSON text; a parent that is missing or not an object counts as
     absent. Columns named in ``objects`` keep a value only where it is an object, and are ``''``
-    elsewhere. The members of one object are taken in one step, level by level: looking each
+    elsewhere. ``source`` names the column with the JSON text itself, from which whole numbers are
+    taken that a variant cannot hold. A new column may not bear the name of one that stays. The
+    members of one object are taken in one step, level by level: looking each
     path up from the root costs several times as much.
     """
 
@@ -97,7 +101,11 @@ def document_fields(
             return quoted(document)
         return f"{holder(parts[:-1])}.{quoted(parts[-1])}"
 
-    kept = [quoted(name) for name in df.columns if name != document]
+    staying = [name for name in df.columns if name != document]
+    taken = {name.lower() for name in staying} & {name.lower() for name in fields}
+    if taken:
+        raise ValueError(f"columns {sorted(taken)} are there already")
+    kept = [quoted(name) for name in staying]
     for depth in range(1 + max(map(len, wanted))):
         level = {parent: names for parent, names in wanted.items() if len(parent) == depth}
         df = df.selectExpr(
@@ -105,8 +113,13 @@ def document_fields(
         )
 
     def text(name: str, path: str) -> str:
-        as_text = object_text if name in objects else member_text
-        return f"{as_text(value(tuple(path.split('.'))), holder(()))} AS {quoted(name)}"
+        parts = tuple(path.split("."))
+        if name in objects:
+            found = object_text(value(parts), holder(()))
+        else:
+            written = None if source is None else written_member(quoted(source), parts)
+            found = member_text(value(parts), holder(()), written)
+        return f"{found} AS {quoted(name)}"
 
     return df.selectExpr(*kept, *(text(name, path) for name, path in fields.items()))
 
@@ -122,4 +135,4 @@ def flatten_payload(
     if leaf not in ("object", "any"):
         raise ValueError(f"leaf must be 'object' or 'any', not {leaf!r}")
     objects = ("responsibleWorkshop",) if leaf == "object" else ()
-    return document_fields(parse_payload(df, column, mode), PAYLOAD_FIELDS, objects=objects)
+    return document_fields(parse_payload(df, column, mode), PAYLOAD_FIELDS, objects=objects, source=column)

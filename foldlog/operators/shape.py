@@ -9,7 +9,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from foldlog.functions.times import timestamp_to_text
+from foldlog.functions.numbers import float_text, truth_text
+from foldlog.functions.times import local_time_to_text, timestamp_to_text
+
+_DIGEST = "__digest"
 
 
 def project_rename(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
@@ -35,19 +38,29 @@ def null_to_default(df: DataFrame, defaults: Mapping[str, Any]) -> DataFrame:
 
 
 def _as_text(field: T.StructField) -> Column:
-    column = F.col(f"`{field.name}`")
-    nested = (T.StructType, T.ArrayType, T.MapType, T.VariantType)
-    if isinstance(field.dataType, nested):
+    name = "`" + field.name.replace("`", "``") + "`"
+    column, kind = F.col(name), field.dataType
+    if isinstance(kind, (T.StructType, T.ArrayType, T.MapType, T.VariantType)):
         text = F.to_json(column)
-    elif isinstance(field.dataType, (T.TimestampType, T.TimestampNTZType)):
+    elif isinstance(kind, T.TimestampType):
         text = timestamp_to_text(column)
+    elif isinstance(kind, T.TimestampNTZType):
+        text = local_time_to_text(column)
+    elif isinstance(kind, (T.DoubleType, T.FloatType)):
+        text = F.expr(float_text(name))
+    elif isinstance(kind, T.BooleanType):
+        text = F.expr(truth_text(name))
     else:
         text = column.cast("string")
     return text.alias(field.name)
 
 
 def stringify_all(df: DataFrame) -> DataFrame:
-    """Every column as text: nested values as JSON, NULL stays NULL."""
+    """Every column as text: nested values as JSON, NULL stays NULL.
+
+    Floating numbers, truth values and times print as the original job prints them: ``1e+16``,
+    ``nan``, ``True``, an offset for timestamps and none for times without a zone.
+    """
     return df.select(*(_as_text(field) for field in df.schema))
 
 
@@ -56,6 +69,17 @@ def union_fill(first: DataFrame, second: DataFrame) -> DataFrame:
     return first.unionByName(second, allowMissingColumns=True)
 
 
+def distinct_rows(df: DataFrame) -> DataFrame:
+    """One of each group of rows that agree in every column, nested and variant ones included.
+
+    Rows are told apart by a digest of all their values as JSON text, in which NULL is written out
+    and binary values are in base64. Each partition drops its own copies before the shuffle, so a
+    row that occurs very often is sent once per partition.
+    """
+    whole = F.to_json(F.struct(*(F.col("`" + name.replace("`", "``") + "`") for name in df.columns)), {"ignoreNullFields": "false"})
+    return df.withColumn(_DIGEST, F.sha2(whole, 256)).dropDuplicates([_DIGEST]).drop(_DIGEST)
+
+
 def preview_rows(df: DataFrame, order: Sequence[Column], rows: int = 5) -> DataFrame:
     """The first rows in a total order, as a frame."""
     return df.orderBy(*order).limit(rows)

@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
+from typing import Any
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from foldlog.functions.times import date_to_text
 from foldlog.sinks.loads import insert_rows
 from foldlog.sources.tables import run_query
 
@@ -33,10 +38,24 @@ def audit_rows(spark: SparkSession, dates: DataFrame) -> DataFrame:
     )
 
 
+def audit_days(days: DataFrame, column: str) -> DataFrame:
+    """One row per different date of a column, through the text that a job is called with."""
+    texts = days.select(date_to_text(F.col(column)).alias("process_date")).where("process_date IS NOT NULL")
+    return audit_rows(days.sparkSession, texts.distinct())
+
+
 def today_text(spark: SparkSession) -> str:
     """Today in UTC, as ``yyyy-MM-dd``; evaluated at each call."""
-    return run_query(spark, "SELECT date_format(current_date(), 'yyyy-MM-dd') AS d").first()["d"]
+    return spark.range(1).select(date_to_text(F.current_date()).alias("d")).first()["d"]
 
 
 def insert_audit(rows: DataFrame, table: str) -> None:
     insert_rows(rows, table, AUDIT_COLUMNS)
+
+
+def insert_query(
+    spark: SparkSession, table: str, columns: Sequence[str], text: str, args: Mapping[str, Any] | None = None
+) -> None:
+    """Insert what a query with named parameters returns into the named columns of a table, matched
+    by position. The query may read any view or table by name, so one statement inserts a set."""
+    insert_rows(run_query(spark, text, args), table, columns)

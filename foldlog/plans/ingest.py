@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import SparkSession
 
 from foldlog.sinks.loads import append_load, replace_load
 from foldlog.sources.csv import read_csv
-from foldlog.sources.documents import action_records, read_documents
-from foldlog.sources.files import list_files, newest_file, select_files
+from foldlog.sources.documents import action_records, read_documents, structured_actions
+from foldlog.sources.files import list_files, literal_path, newest_file, select_files
 
 
 def ingest_csv(
@@ -28,9 +26,7 @@ def ingest_csv(
     chosen = newest_file(matching).first()
     if chosen is None:
         return None
-    # Readers take a path for a pattern; the chosen file is meant literally.
-    literal = re.sub(r"([\[\]{}*?\\])", r"\\\1", chosen["id"])
-    append_load(read_csv(spark, literal), table, fmt, path)
+    append_load(read_csv(spark, literal_path(chosen["id"])), table, fmt, path)
     return chosen["id"]
 
 
@@ -41,8 +37,9 @@ def snapshot_actions(
     replace: bool = False,
     fmt: str = "parquet",
     path: str | None = None,
+    structured: bool = False,
 ) -> None:
     """Load id and corrective actions of every exported document; each run appends a full copy
-    unless ``replace`` is set."""
-    records = action_records(read_documents(spark, export))
+    unless ``replace`` is set. The actions are JSON text, or a variant where ``structured``."""
+    records = (structured_actions if structured else action_records)(read_documents(spark, export))
     (replace_load if replace else append_load)(records, table, fmt, path)

@@ -110,8 +110,9 @@ def current_events(
     require_unique(ordinals, unique)
     total = [*order, *(ascending(name) for name in unique)]
     newest_first = [F.desc_nulls_last("timestamp"), *(key.sorted(key.column()) for key in total)]
-    named = document_fields(parse_payload(live, "data", mode), {"__id": "id"})
-    latest = latest_per_key(named, "__id", newest_first).drop("__id").join(ordinals, list(unique))
+    named = document_fields(parse_payload(live, "data", mode), {"__id": "id"}, source="data")
+    latest = latest_per_key(named, "__id", newest_first).join(ordinals, list(unique))
+    latest = latest.select("data", "timestamp", "indice")
     flat = flatten_payload(latest, "data", mode, leaf)
     dated = null_to_default(flat, {"finalizedAt": 0, "tracingAt": 0, "processAt": 0}).withColumns(
         {

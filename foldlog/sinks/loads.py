@@ -73,12 +73,6 @@ def fitted(df: DataFrame, fields: Sequence[T.StructField]) -> DataFrame:
     )
 
 
-def _fields_by_name(df: DataFrame, table: str) -> list[T.StructField]:
-    """The table's field for each column of ``df``; its own where the table has none."""
-    known = {f.name.lower(): f for f in df.sparkSession.table(table).schema}
-    return [known.get(f.name.lower(), f) for f in df.schema]
-
-
 def _create(df: DataFrame, table: str, fmt: str, path: str | None, partitions: Sequence[str] = ()) -> None:
     writer = df.write.format(fmt).mode("errorifexists")
     if path is not None:
@@ -91,12 +85,16 @@ def _create(df: DataFrame, table: str, fmt: str, path: str | None, partitions: S
 def append_load(df: DataFrame, table: str, fmt: str = "parquet", path: str | None = None) -> None:
     """Add the rows to a table, which is created when missing. A second run adds them again.
 
-    Columns are matched by name. Values that the table's types cannot hold without loss, such as
+    Columns are matched by name, and must be those of the table. Values that the table's types cannot hold without loss, such as
     fractions for whole numbers, are refused before anything is written.
     """
     if df.sparkSession.catalog.tableExists(table):
-        ready = fitted(df, _fields_by_name(df, table))
-        ready.write.format(_described(df.sparkSession, table)["provider"]).mode("append").saveAsTable(table)
+        known = {f.name.lower(): f for f in df.sparkSession.table(table).schema}
+        if sorted(known) != sorted(name.lower() for name in df.columns):
+            raise ValueError(f"{table} has the columns {sorted(known)}, not {df.columns}")
+        ready = fitted(df, [known[name.lower()] for name in df.columns])
+        # Inserts are by position, into whatever partitions and buckets the table has.
+        ready.select(*(_quoted(f.name) for f in known.values())).write.insertInto(table)
     else:
         _create(df, table, fmt, path)
 

@@ -9,6 +9,7 @@ from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
+from foldlog.operators import ordinals
 from foldlog.operators.changelog import deleted_keys, latest_per_key, live_rows
 from foldlog.operators.payload import flatten_payload
 from foldlog.plans.report import (
@@ -302,3 +303,34 @@ def test_hot_document_is_split_also_before_a_window_on_the_same_key(spark, hot_l
     rows = {row.document_id: row.id for row in latest.collect()}
     assert len(rows) == 1 + 5000 - 10
     assert rows["hot"] == 59_999 and "gone" not in rows
+
+
+def test_no_payload_is_staged_for_the_report(spark):
+    rows = [(f"d{k % 9}", "UPDATE", {"id": f"x{k % 20}", "state": f"payload {k}"}, k) for k in range(200)]
+    staged = []
+    stage = ordinals.stage
+
+    def seen(df, label):
+        out = stage(df, label)
+        staged.append((label, out.columns))
+        return out
+
+    ordinals.stage = seen
+    try:
+        assert current_events(log_of(spark, *rows), ["event"]).count() == 20
+    finally:
+        ordinals.stage = stage
+    assert [(label, sorted(columns)) for label, columns in staged] == [("ranges", ["__range", "__slot", "event"])]
+
+
+@pytest.mark.parametrize("events", [("a", "a", "b"), ("a", None, "b")])
+def test_report_refuses_columns_that_do_not_tell_rows_apart(spark, events):
+    log = spark.createDataFrame([(e, "d", "UPDATE", '{"id":1}', None) for e in events], LOG)
+    with pytest.raises(ValueError, match="event must tell all rows apart"):
+        current_events(log, ["event"])
+
+
+def test_unique_columns_may_bear_payload_names(spark):
+    log = log_of(spark, ("a", "UPDATE", {"id": "x", "state": "s"}, 1)).withColumnRenamed("event", "id")
+    (row,) = current_events(log, ["id"]).collect()
+    assert (row.id, row.estado) == ("x", "s")

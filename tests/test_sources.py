@@ -8,14 +8,16 @@ import pandas as pd
 import pytest
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
 
 from foldlog.plans.ingest import ingest_csv, snapshot_actions
 from foldlog.plans.report import REGISTER_COLUMNS, register_rows
-from foldlog.sources.csv import has_quoted_newlines, read_csv
-from foldlog.sources.documents import action_records, read_documents
+from foldlog.sources.csv import header_names, quoted_newlines, read_csv
+from foldlog.sources.documents import action_records, exploded_actions, read_documents
 from foldlog.sources.files import list_files, newest_file, select_files
 from foldlog.sources.register import read_register
 from foldlog.sources.tables import read_table, run_query
+from tests.plan import planned
 
 FAILURES = (PySparkException, Py4JJavaError)
 
@@ -69,9 +71,10 @@ def test_java_only_number_forms_are_text(spark, tmp_path):
 
 def test_line_break_inside_quotes(spark, tmp_path):
     path = write(tmp_path, "lines.csv", 'a,b\n1,"two\nlines"\n2,one\n')
-    assert has_quoted_newlines(spark, path)
+    assert list(quoted_newlines(spark, path).values()) == [True]
     same_as_pandas(spark, path)
-    assert not has_quoted_newlines(spark, write(tmp_path, "plain.csv", 'a,b\n1,"say ""x"""\n'))
+    plain = write(tmp_path, "plain.csv", 'a,b\n1,"say ""x"""\n')
+    assert list(quoted_newlines(spark, plain).values()) == [False]
 
 
 def test_short_record_is_filled_and_long_record_is_refused(spark, tmp_path):
@@ -101,7 +104,8 @@ def test_newest_matching_file(spark, tmp_path):
     write(tmp_path / "below", "KIT_deep.csv", "a\n6\n")
     folder = str(tmp_path)
     listing = list_files(spark, folder)
-    assert listing.count() == 5
+    assert listing.count() == 6
+    assert {r.parent for r in listing.collect()} == {folder, f"{folder}/below"}
     matching = select_files(listing, folder, "KIT")
     assert {row.name for row in matching.collect()} == {"KIT_old.csv", "KIT new a.csv", "KIT new b.csv"}
     assert newest_file(matching).first().name == "KIT new b.csv"
@@ -198,3 +202,113 @@ def test_tables_by_path_name_and_query(spark):
         {"source": "nation_view", "below": 3},
     )
     assert (by_path.count(), read_table(spark, "nation_view").count(), by_query.count()) == (25, 25, 3)
+
+
+@pytest.mark.parametrize(
+    "header",
+    ["a,a,b", "a,,b", ",a,", "a,a,a.1", "a,a.1,a", "a.1,a,a", "x,x,x,x", "a,A,a", ",,", "a,b,a,b,a.1"],
+)
+def test_headers_are_named_like_pandas_names_them(spark, tmp_path, header):
+    width = header.count(",") + 1
+    path = write(tmp_path, "names.csv", f"{header}\n" + ",".join(map(str, range(width))) + "\n")
+    assert read_csv(spark, path).columns == list(pd.read_csv(path).columns)
+    assert [tuple(r) for r in read_csv(spark, path).collect()] == [tuple(range(width))]
+
+
+def test_header_names_are_all_different():
+    assert header_names(["a", "a", None, "", "a.1", "a"]) == ["a", "a.2", "Unnamed: 2", "Unnamed: 3", "a.1", "a.3"]
+
+
+def test_a_csv_without_a_header_is_refused(spark, tmp_path):
+    with pytest.raises(ValueError, match="no header"):
+        read_csv(spark, write(tmp_path, "nothing.csv", ""))
+    with pytest.raises(ValueError, match="no header"):
+        read_csv(spark, write(tmp_path, "nothing.csv", ""), multi_line=True)
+
+
+def test_one_file_with_quoted_line_breaks_leaves_the_others_split(spark, tmp_path):
+    (tmp_path / "in parts %20").mkdir()
+    folder = tmp_path / "in parts %20"
+    for k in range(10):
+        text = "a,b\n" + "".join(f'{k},"plain {i}"\n' for i in range(5_000))
+        write(folder, f"part {k} [x].csv", text + (f'{k},"two\nlines"\n' if k == 4 else ""))
+    flags = quoted_newlines(spark, str(folder))
+    assert sum(flags.values()) == 1 and len(flags) == 10
+    key = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "20000")
+    try:
+        frame = read_csv(spark, str(folder))
+        tasks = frame.rdd.getNumPartitions()
+        spread = [
+            (r.file, r.tasks)
+            for r in frame.select(F.input_file_name().alias("file"), F.spark_partition_id().alias("task"))
+            .groupBy("file")
+            .agg(F.countDistinct("task").alias("tasks"))
+            .collect()
+        ]
+    finally:
+        spark.conf.set(key, before)
+    assert tasks > 9 * 4
+    assert sorted(n for file, n in spread if "part%204" in file or "part 4" in file) == [1]
+    assert min(n for file, n in spread if "part%204" not in file and "part 4" not in file) >= 4
+    assert frame.count() == 50_001
+    assert frame.where(F.col("b").contains("\n")).count() == 1 and dict(frame.dtypes) == {"a": "bigint", "b": "string"}
+
+
+def test_listing_of_nested_folders_types_and_trash(spark, tmp_path):
+    for place in ("a=1", "a=1/Trash", "b/c", "Trash/d"):
+        (tmp_path / place).mkdir(parents=True)
+    for name in ("x.csv", "a=1/y.CSV", "a=1/z.tar.gz", "a=1/Trash/y.csv", "b/c/no extension", "b/c/w.json", "Trash/d/v.csv"):
+        write(tmp_path, name, "a\n1\n")
+    for folder in (str(tmp_path), f"{tmp_path}/", f"file://{tmp_path}"):
+        shown = folder.rstrip("/")
+        listing = list_files(spark, folder)
+        assert {(r.name, r.parent.removeprefix(shown), r.mime_type, r.trashed) for r in listing.collect()} == {
+            ("x.csv", "", "text/csv", False),
+            ("y.CSV", "/a=1", "text/csv", False),
+            ("z.tar.gz", "/a=1", "application/gzip", False),
+            ("y.csv", "/a=1/Trash", "text/csv", True),
+            ("no extension", "/b/c", "application/octet-stream", False),
+            ("w.json", "/b/c", "application/json", False),
+            ("v.csv", "/Trash/d", "text/csv", True),
+        }
+        both = select_files(listing, f"{folder.rstrip('/')}/a=1/", "", ["text/csv", "application/gzip"])
+        assert {r.name for r in both.collect()} == {"y.CSV", "z.tar.gz"}
+        assert select_files(listing, f"{shown}/a=1/Trash", "y").isEmpty()
+    assert "content" not in planned(list_files(spark, str(tmp_path))).split("ReadSchema")[-1]
+
+
+def test_structured_actions_survive_a_load(spark, tmp_path):
+    long = 10**45 + 1
+    lines = [
+        {"id": "list", "correctiveActions": [{"corrective": "c", "created_at": 1.0, "closed_at": None}, 5, []]},
+        {"id": "object", "correctiveActions": {"k": {"corrective": "d"}}},
+        {"id": "null", "correctiveActions": None},
+        {"id": "text", "correctiveActions": "x"},
+        {"id": "empty", "correctiveActions": []},
+        {"id": long},
+        {},
+    ]
+    write(tmp_path, "export.json", "\n\n".join(map(json.dumps, lines)) + "\n")
+    snapshot_actions(spark, str(tmp_path / "export.json"), "structured", path=str(tmp_path / "t"), structured=True)
+    loaded = spark.table("structured")
+    assert dict(loaded.dtypes) == {"id": "string", "correctiveActions": "variant"}
+    found = exploded_actions(loaded).orderBy("id", "pos").collect()
+    assert [tuple(r) for r in found] == [
+        ("", None, None, None, None, None),
+        (str(long), None, None, None, None, None),
+        ("empty", None, None, None, None, None),
+        ("list", 0, None, "c", "1.0", None),
+        ("list", 1, None, None, None, None),
+        ("list", 2, None, None, None, None),
+        ("null", None, None, None, None, None),
+        ("object", 0, "k", "d", "", ""),
+        ("text", None, None, None, None, None),
+    ]
+
+
+def test_a_malformed_line_of_an_export_is_an_error(spark, tmp_path):
+    write(tmp_path, "bad.json", '{"id":1}\n{"id":\n')
+    with pytest.raises(FAILURES):
+        action_records(read_documents(spark, str(tmp_path / "bad.json"))).collect()
