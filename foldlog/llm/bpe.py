@@ -20,6 +20,8 @@ import regex
 from pyspark.sql import DataFrame, types as T
 from pyspark.sql import functions as F
 
+from foldlog.llm.common import release_memory
+
 #: Unicode's White_Space, and the pattern that cuts text before the merges.
 _SPACE = r"\t-\r \x85\xa0  -     　"
 PATTERN = (
@@ -30,7 +32,8 @@ PATTERN = (
 _NO_PAIR = np.int64(1) << 62
 _ID_BITS = 32
 _LONGEST_ROW = 64
-_CACHED = 600_000
+#: Bytes of pieces, with what a table of Python takes for each, that a codec remembers in a task.
+_CACHED_BYTES, _PIECE_BYTES = 48 << 20, 200
 
 
 def printable_bytes() -> list[str]:
@@ -101,10 +104,12 @@ class _Pieces(dict):
         self.starts = np.zeros(0, np.int64)
         self.counts = np.zeros(0, np.int64)
         self.uses = np.zeros(0, np.int64)
+        self.size = 0
 
     def __missing__(self, key):
         self[key] = number = len(self)
         self.new.append(key)
+        self.size += _PIECE_BYTES + (2 * len(key) if isinstance(key, str) else 0)
         return number
 
     def append(self, flat: np.ndarray, counts: np.ndarray) -> None:
@@ -120,10 +125,13 @@ class _Pieces(dict):
         self.uses += np.bincount(used, minlength=len(self.uses))
 
     def forget(self) -> None:
-        """Keep the pieces used most, a quarter of the room at most; the others are encoded again."""
-        least = max(2, int(np.sort(self.uses)[-_CACHED // 4]))
+        """Keep the pieces used most, an eighth of the room at most and no long ones; the others are
+        encoded again."""
+        room = _CACHED_BYTES // (8 * _PIECE_BYTES)
+        least = max(2, int(np.sort(self.uses)[-room])) if len(self) > room else 2
         keep = np.flatnonzero(self.uses > least)
         keys = list(self)
+        keep = keep[[isinstance(keys[i], int) or len(keys[i]) <= _LONGEST_ROW for i in keep.tolist()]]
         kept = [keys[i] for i in keep.tolist()]
         counts, starts = self.counts[keep], self.starts[keep]
         ends = np.cumsum(counts)
@@ -174,7 +182,7 @@ class BytePairCodec:
     def encode_batch(self, texts: Iterable[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts one after the other, and the position where each text begins,
         with the total last; a null text has no ids."""
-        if len(self._pieces) > _CACHED:
+        if self._pieces.size > _CACHED_BYTES:
             self._pieces.forget()
         number = self._pieces.__getitem__
         numbers, sizes = [], []
@@ -192,6 +200,10 @@ class BytePairCodec:
         flat = self._pieces.flat[np.repeat(shift, counts) + np.arange(total)]
         return flat, np.concatenate(([0], ends))[np.concatenate(([0], np.cumsum(sizes)))]
 
+    def close(self) -> None:
+        """Give back the memory of pieces: a worker outlives its task, other stages follow."""
+        self._pieces = _Pieces()
+
     def decode(self, ids: Iterable[int]) -> str:
         return b"".join(map(self.part_bytes.__getitem__, ids)).decode("utf-8", "replace")
 
@@ -336,15 +348,20 @@ def codec(path: str) -> BytePairCodec:
     return BytePairCodec(path)
 
 
-def _with_column(df: DataFrame, source: str, name: str, kind: T.DataType, make) -> DataFrame:
+def _with_column(df: DataFrame, source: str, name: str, kind: T.DataType, path: str, make) -> DataFrame:
+    """Add a column made of another one by ``make(codec)``."""
     if name in df.columns:
         raise ValueError(f"the rows have a column {name!r} already")
 
     def run(batches):
-        step = make()
+        own = codec(path)
+        step = make(own)
         for batch in batches:
             column = step(batch.column(batch.schema.get_field_index(source)))
             yield pa.RecordBatch.from_arrays([*batch.columns, column], names=[*batch.schema.names, name])
+        own.close()
+        batch = column = None
+        release_memory()
 
     return df.mapInArrow(run, T.StructType([*df.schema.fields, T.StructField(name, kind)]))
 
@@ -357,16 +374,14 @@ def encode_texts(df: DataFrame, path: str, text_col: str = "text", ids_col: str
     named ``ids_col`` is refused.
     """
 
-    def make():
-        own = codec(path)
-
+    def make(own: BytePairCodec):
         def step(texts: pa.Array) -> pa.Array:
             values, offsets = own.encode_batch(texts.to_pylist())
             return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values))
 
         return step
 
-    return _with_column(df, text_col, ids_col, T.ArrayType(T.IntegerType()), make)
+    return _with_column(df, text_col, ids_col, T.ArrayType(T.IntegerType()), path, make)
 
 
 def decode_ids(df: DataFrame, path: str, ids_col: str = "ids", text_col: str = "decoded") -> DataFrame:
@@ -375,11 +390,10 @@ def decode_ids(df: DataFrame, path: str, ids_col: str = "ids", text_col: str = "
     Bytes that are no UTF-8 become U+FFFD. All rows and columns stay; ``text_col`` must be new.
     """
 
-    def make():
-        own = codec(path)
+    def make(own: BytePairCodec):
         return lambda ids: pa.array([own.decode(x or ()) for x in ids.to_pylist()], pa.string())
 
-    return _with_column(df, ids_col, text_col, T.StringType(), make)
+    return _with_column(df, ids_col, text_col, T.StringType(), path, make)
 
 
 def round_trip_digests(

@@ -63,8 +63,9 @@ def map_columns(
     df: DataFrame,
     make: Callable[[], Callable[[dict[str, list]], dict[str, Iterable]]],
     schema: pa.Schema,
+    done: Callable[[], None] | None = None,
 ) -> DataFrame:
-    """Map Arrow batches as column lists. ``make`` is called once in each task."""
+    """Map Arrow batches as column lists. ``make`` is called once in each task, ``done`` at its end."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         step = make()
@@ -74,6 +75,8 @@ def map_columns(
                 [pa.array(made[field.name], type=field.type) for field in schema], schema=schema
             )
         step = batch = made = None
+        if done is not None:
+            done()
         release_memory()
 
     return df.mapInArrow(run, ddl(schema))

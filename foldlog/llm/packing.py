@@ -90,7 +90,7 @@ def token_pieces(
     rows = docs.select(
         F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text")
     )
-    return map_columns(rows, make, _PIECES)
+    return map_columns(rows, make, _PIECES, done=lambda: codec(path).close())
 
 
 def pack_pieces(
