@@ -12,7 +12,7 @@ import pytest
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from foldlog.llm import bpe, lattice, licenses, lzprint, packing, perspectives, pii, repetition, signatures, toxicity
+from foldlog.llm import bpe, lattice, licenses, lzprint, packing, perspectives, pii, repetition, signatures
 from foldlog.llm.common import fold
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -288,23 +288,6 @@ def test_licenses(spark, odd, empty):
     assert [(r.doc_id, r.license, r.first_word) for r in one] == [(9, "MIT-text", 3)]
 
 
-def test_string_kernel_machine(spark, odd, empty):
-    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
-    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
-    model = toxicity.fit_toxicity(docs, labels)
-    rows = toxicity.toxicity_scores(docs, model).join(labels, "doc_id").where(fold("doc_id", 5) == 0).collect()
-    toxic = np.array([r.score for r in rows if r.toxic])
-    clean = np.array([r.score for r in rows if not r.toxic])
-    assert (toxic[:, None] > clean[None, :]).mean() > 0.85
-    assert (clean < 0.5).mean() > 0.95
-    plain, dotted, spaced, kind = toxicity.scores_of(["you idiot", "you i-d.i-o-t", "you i d i o t", "you friend"], model)
-    assert plain == pytest.approx(dotted) == pytest.approx(spaced) and plain > 0.3 > kind
-    left = toxicity.token_scores(*toxicity.letter_codes("id" + "x" + "iot"), model.table())
-    other = toxicity.token_scores(*toxicity.letter_codes("ingthe"), model.table())
-    assert left[0] > other[0]
-    assert toxicity.toxicity_scores(odd, toxicity.fit_toxicity(empty, labels.limit(0))).count() == len(ODD)
-
-
 @pytest.mark.parametrize(("width", "percent"), [(4, 85), (5, 80)])
 def test_signature_tree_join_equals_brute_force(spark, odd, empty, width, percent, monkeypatch):
     monkeypatch.setattr(signatures, "BLOCK", 4)
