@@ -4,9 +4,10 @@ All built-in functions. Texts and templates are read as words of ASCII letters a
 case, in shingles of three. A window of a text holds ``WINDOW`` shingles, one begins every
 ``STRIDE``; its minimum under each of ``BANDS`` hash orders is a band of one row. Templates have a
 window at every shingle. Where window and template window share a share J of their shingles, a
-band agrees with probability J, all bands miss with (1 - J)**BANDS: below 0.4 % for the shortest
-template (5 words, 3 of 6 shingles) and 0.006 % from J = 0.7 on; passages of more words are hit by
-several windows.
+band agrees with probability J, and, the orders being hashes of their own, all bands miss with
+(1 - J)**BANDS. Windows overlap so far that a run of up to 4 shingles lies whole in one of them, so
+J is 1/2 at least for a template of 5 words or more that is there word for word: a miss below
+0.03 %. Passages of more words are hit by several windows.
 """
 
 from __future__ import annotations
@@ -14,9 +15,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-SHINGLE, WINDOW, STRIDE, BANDS = 3, 6, 3, 8
+SHINGLE, WINDOW, STRIDE, BANDS = 3, 6, 3, 12
 #: Least share of a template's different shingles that a text must have near the place found.
 CONTAINMENT = 0.8
+#: Words of all templates: their bands are listed in the plan, and their shingles are broadcast.
+MOST_TEMPLATE_WORDS = 20_000
 
 #: Names and wordings of the templates, notices first, then openings of licenses.
 TEMPLATES = {
@@ -84,15 +87,20 @@ def shingles(words: Column) -> Column:
     ).otherwise(F.array().cast("array<bigint>"))
 
 
-def bands(window: Column) -> Column:
-    """Band number and smallest value of a window, mixed into one number for each band.
+def orders(shingle_col: str) -> Column:
+    """The shingles under each hash order: one array per band, hashed once for all windows."""
+
+    def under(band: int) -> Column:
+        return F.transform(shingle_col, lambda s: F.xxhash64(s, F.lit(band)))
+
+    return F.array(*[under(band) for band in range(BANDS)])
 
-    The shingles are hashes already, so changing bits by a fixed pattern gives another order.
-    """
+
+def bands(ordered: str, start: Column) -> Column:
+    """Band number and smallest value of a window, mixed into one number for each band."""
 
     def smallest(band: int) -> Column:
-        pattern = (0x9E3779B97F4A7C15 * (2 * band + 1)) % (1 << 63)
-        return F.xxhash64(F.lit(band), F.array_min(F.transform(window, lambda s: s.bitwiseXOR(F.lit(pattern)))))
+        return F.xxhash64(F.lit(band), F.array_min(F.slice(F.col(ordered)[band], start, WINDOW)))
 
     return F.array(*[smallest(band) for band in range(BANDS)])
 
@@ -126,21 +134,25 @@ def scan_licenses(
     template is; ``containment`` is the largest share of the template's shingles at one place, of
     at least ``CONTAINMENT``. Rows are compared by themselves and keep together by a row number,
     so repeated rows and ids are reported each; a null id stays null. Null, empty and short texts
-    match nothing. Templates of fewer than three words are refused. Other columns are not read; an
-    empty table gives no rows.
+    match nothing; whole texts are read, however long. Templates of fewer than three words, and
+    more than ``MOST_TEMPLATE_WORDS`` words of templates in all, are refused. Other columns are not
+    read; an empty table gives no rows.
 
-    The templates are few and fixed, so their bands are a list in the plan and their shingles are
+    The templates are bounded, so their bands are a list in the plan and their shingles are
     broadcast. Texts are not shuffled: those without a band in common are dropped where they are read.
     """
     spark = docs.sparkSession
     known = _templates(spark, TEMPLATES if templates is None else templates)
-    if known.where(F.size("template") == 0).count():
+    shortest, total = known.agg(F.min(F.size("template")), F.sum(F.size("template"))).first()
+    if not shortest:
         raise ValueError("a template needs three words at least")
-    pieces = known.select(
-        "license",
-        "template",
-        F.explode(_starts("template", 1)).alias("template_start"),
-    ).withColumn("keys", bands(F.slice("template", F.col("template_start"), WINDOW)))
+    if total > MOST_TEMPLATE_WORDS:
+        raise ValueError(f"the templates have {total} words; they are sent to all tasks")
+    pieces = (
+        computed(known, "ordered", orders("template"))
+        .select("license", "template", "ordered", F.explode(_starts("template", 1)).alias("template_start"))
+        .withColumn("keys", bands("ordered", F.col("template_start")))
+    )
     lookup = pieces.select("license", "template", "template_start", F.explode("keys").alias("key")).distinct()
     listed = [r.key for r in lookup.select("key").distinct().collect()]  # a few for each template word
     windows = F.filter(
@@ -148,7 +160,7 @@ def scan_licenses(
             F.col("starts"),
             lambda s: F.struct(
                 s.alias("start"),
-                F.filter(bands(F.slice("text_shingles", s, WINDOW)), lambda k: k.isin(listed)).alias("keys"),
+                F.filter(bands("ordered", s), lambda k: k.isin(listed)).alias("keys"),
             ),
         ),
         lambda w: F.size(w.keys) > 0,
@@ -160,6 +172,7 @@ def scan_licenses(
     rows = computed(rows, "text_shingles", shingles(F.col("words"))).drop("words")
     rows = rows.where(F.size("text_shingles") > 0)
     rows = computed(rows, "starts", _starts("text_shingles", STRIDE))
+    rows = computed(rows, "ordered", orders("text_shingles"))
     found = (
         computed(rows, "windows", windows)
         .where(F.size("windows") > 0)

@@ -288,6 +288,30 @@ def test_licenses(spark, odd, empty):
     assert [(r.doc_id, r.license, r.first_word) for r in one] == [(9, "MIT-text", 3)]
 
 
+def test_every_template_is_found_in_any_context(spark):
+    """Word for word, and with as many words changed as the containment allows, in random texts."""
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 7)))
+    rows, names = [], sorted(licenses.TEMPLATES)
+    for k, name in enumerate(names):
+        words = licenses.TEMPLATES[name].split()
+        allowed = 0.2 * (len(re.findall("[a-z0-9]+", licenses.TEMPLATES[name].lower())) - 2)
+        for copy in range(200):
+            own = list(words)
+            # A changed word spoils three shingles.
+            if copy % 2 and allowed >= 6:
+                own[rng.randrange(2, len(own) - 2)] = word()
+            before, after = ([word() for _ in range(rng.randrange(40))] for _ in range(2))
+            rows.append((1000 * k + copy, " ".join([*before, *own, *after])))
+    found = licenses.scan_licenses(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(8))
+    got = {(r.doc_id, r.license) for r in found.collect()}
+    for odd in (0, 1):
+        hits = [(1000 * k + copy, name) in got for k, name in enumerate(names) for copy in range(odd, 200, 2)]
+        assert sum(hits) >= 0.998 * len(hits)
+    by_name = {name: sum((1000 * k + copy, name) in got for copy in range(200)) for k, name in enumerate(names)}
+    assert min(by_name.values()) >= 198, by_name
+
+
 @pytest.mark.parametrize(("width", "percent"), [(4, 85), (5, 80)])
 def test_signature_tree_join_equals_brute_force(spark, odd, empty, width, percent, monkeypatch):
     monkeypatch.setattr(signatures, "BLOCK", 4)
