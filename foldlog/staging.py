@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
 
@@ -63,6 +63,16 @@ def staged_tables(spark: SparkSession) -> Iterator[None]:
             drop_path(spark, path)
 
 
+def stage_from(spark: SparkSession, make: Callable[[], DataFrame], label: str) -> DataFrame:
+    """Write the frame that ``make`` returns and read it back; what ``make`` staged on the way is
+    dropped as soon as that is done."""
+    path = new_path(spark, label)
+    with staged_tables(spark):
+        made = make()
+        made.write.parquet(path)
+    return spark.read.schema(made.schema).parquet(path)
+
+
 def drop_path(spark: SparkSession, path: str) -> None:
     """Delete a file or folder wherever Spark can write; one that is missing is no error."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -3,6 +3,7 @@
 import base64
 import datetime as dt
 import json
+import os
 import uuid
 
 import pytest
@@ -13,7 +14,7 @@ from foldlog.plans import audit
 from foldlog.plans.messages import message_envelope
 from foldlog.sinks.loads import append_load, insert_rows, replace_load
 from foldlog.sinks.messages import kafka_rows, publish
-from foldlog.staging import shared_folder, stage, staged_tables
+from foldlog.staging import shared_folder, stage, stage_from, staged_tables
 
 
 def test_append_and_replace(spark):
@@ -82,3 +83,17 @@ def test_staged_tables_are_dropped_after_the_block(spark):
     with pytest.raises(Exception):
         spark.read.parquet(*files).count()
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_what_is_staged_on_the_way_is_dropped(spark):
+    seen = []
+
+    def make():
+        seen.extend(stage(spark.range(k), "inner") for k in (3, 4))
+        return seen[0].union(seen[1])
+
+    frame = stage_from(spark, make, "outer")
+    assert frame.count() == 7
+    left = os.listdir(shared_folder(spark).removeprefix("file:"))
+    assert not any(name.startswith("foldlog-inner") for name in left)
+    assert sum(name.startswith("foldlog-outer") for name in left) == 1
