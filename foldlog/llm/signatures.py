@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from foldlog.llm.common import map_columns, mix64
 from foldlog.llm.graph import components
-from foldlog.staging import stage
+from foldlog.staging import stage, stage_from
 
 SIGNATURE_BITS = 1024
 #: Members of a leaf of the tree; nodes that one task pairs at one shingle at most.
@@ -358,9 +358,13 @@ def jaccard_components(
         F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text")
     )
     sets = stage(described_sets(rows, width, percent), "sets")
-    prefixes = stage(prefix_rows(sets, percent), "prefixes")
-    met = prefixes.groupBy("token").agg(F.count("*").alias("members"), F.min("id").alias("a")).where("members > 1")
-    here = stage(prefixes.join(met, "token"), "met")
+
+    def meeting() -> DataFrame:
+        prefixes = stage(prefix_rows(sets, percent), "prefixes")
+        met = prefixes.groupBy("token").agg(F.count("*").alias("members"), F.min("id").alias("a")).where("members > 1")
+        return prefixes.join(met, "token")
+
+    here = stage_from(docs.sparkSession, meeting, "met")
     grams = stage(_grams_of(rows, here.select("id").distinct(), width), "grams")
     stars = stage(
         here.where("a <> id").select("a", F.col("id").alias("b")).distinct(), "stars"
