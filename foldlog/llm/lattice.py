@@ -1,17 +1,19 @@
 """Language-model scores from the lattice of subword segmentations.
 
-The pieces are those of an existing vocabulary. Their weights start from the scores in its file and
-are then fitted to the training words by one step of expectation and maximization. The probability
-of a word is the sum over all its segmentations, by the forward recursion in log space; words never
-share a piece, as only the first piece of a word carries the mark of its start, so the probability
-of a text is the product over its words and its end.
+The pieces are those of an existing vocabulary, and weigh by the scores of its file; nothing of
+them is learnt from the documents. The probability of a word is the sum over all its segmentations,
+by the forward recursion in log space; words never share a piece, as only the first piece of a word
+carries the mark of its start, so the probability of a text is the product over its words and its
+end. How often a text ends after a word is counted in the training documents.
+
+Each different word of all documents goes through the recursion once; its value is then joined to
+the documents that have it, together with its training count.
 """
 
 from __future__ import annotations
 
 import math
 from collections import Counter
-from dataclasses import dataclass
 from functools import lru_cache
 
 import pyarrow as pa
@@ -19,18 +21,18 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from foldlog.llm.common import map_columns, words
+from foldlog.llm.common import map_columns, release_memory
 from foldlog.staging import stage
 
 _START = "▁"
 _LOG10 = math.log(10)
-#: Distinct words that a task holds at once, and words whose probability a worker remembers.
+#: Distinct words that a task holds at once.
 _HELD = 200_000
 #: Words sent to all workers: the most frequent ones of at most so many bytes each.
 HEAD_WORDS, HEAD_BYTES = 100_000, 48
 
 _COUNTS = pa.schema([("word", pa.string()), ("n", pa.int64())])
-_EXPECTED = pa.schema([("piece", pa.int32()), ("n", pa.int64())])
+_VALUED = pa.schema([("word", pa.string()), ("n", pa.int64()), ("value", pa.float64())])
 
 
 class Lattice:
@@ -38,19 +40,17 @@ class Lattice:
 
     def __init__(self, names: list[str], weights: list[float]):
         """``names``: pieces, and ``<0xHH>`` for bytes; ``weights``: natural log probabilities."""
-        self.names = names
-        self.pieces: dict[str, tuple[int, float]] = {}
-        self.bytes: dict[int, tuple[int, float]] = {}
-        for i, (name, weight) in enumerate(zip(names, weights)):
+        self.pieces: dict[str, float] = {}
+        self.bytes: dict[int, float] = {}
+        for name, weight in zip(names, weights):
             if len(name) == 6 and name.startswith("<0x"):
-                self.bytes[int(name[3:5], 16)] = (i, weight)
+                self.bytes[int(name[3:5], 16)] = weight
             else:
-                self.pieces[name] = (i, weight)
+                self.pieces[name] = weight
         self.prefixes = {name[:k] for name in self.pieces for k in range(1, len(name))}
-        self._known: dict[bytes, float] = {}
 
-    def arcs(self, word: str) -> list[list[tuple[int, float, tuple[int, ...]]]]:
-        """For each position the arcs that end there: (where it begins, weight, its pieces).
+    def arcs(self, word: str) -> list[list[tuple[int, float]]]:
+        """For each position the arcs that end there: (where it begins, weight).
 
         A character that is no piece by itself is spelt by its bytes.
         """
@@ -62,61 +62,34 @@ class Lattice:
                 part = text[i:j]
                 found = pieces.get(part)
                 if found is not None:
-                    ending[j].append((i, found[1], (found[0],)))
+                    ending[j].append((i, found))
                 elif j == i + 1:
-                    spelt = [self.bytes[b] for b in part.encode()]
-                    ending[j].append((i, sum(w for _, w in spelt), tuple(k for k, _ in spelt)))
+                    ending[j].append((i, sum(self.bytes[b] for b in part.encode())))
                 if part not in prefixes:
                     break
         return ending
 
-    def forward(self, ending: list) -> list[float]:
-        """Log of the summed probability of all ways to each position."""
+    def word_log(self, word: str) -> float:
+        """Natural log of the probability of a word: of all ways from its start to its end."""
         alpha = [0.0]
-        for own in ending[1:]:
-            terms = [alpha[i] + w for i, w, _ in own]
+        for own in self.arcs(word)[1:]:
+            terms = [alpha[i] + w for i, w in own]
             if len(terms) == 1:
                 alpha.append(terms[0])
             else:
                 top = max(terms)
                 alpha.append(top + math.log(sum([math.exp(t - top) for t in terms])))
-        return alpha
-
-    def word_log(self, word: bytes) -> float:
-        """Natural log of the probability of a word."""
-        known = self._known.get(word)
-        if known is None:
-            if len(self._known) >= _HELD:
-                self._known.clear()
-            known = self._known[word] = self.forward(self.arcs(word.decode()))[-1]
-        return known
-
-    def expected(self, word: str) -> list[tuple[int, float]]:
-        """Expected number of uses of each piece in a word, given the weights."""
-        ending = self.arcs(word)
-        alpha = self.forward(ending)
-        n = len(ending) - 1
-        beta: list[float] = [-math.inf] * n + [0.0]
-        out: list[tuple[int, float]] = []
-        total = alpha[n]
-        for j in range(n, 0, -1):
-            if beta[j] == -math.inf:
-                continue
-            for i, w, used in ending[j]:
-                through = w + beta[j]
-                share = math.exp(alpha[i] + through - total)
-                out.extend((k, share) for k in used)
-                a, b = (beta[i], through) if beta[i] > through else (through, beta[i])
-                beta[i] = a if b == -math.inf else a + math.log1p(math.exp(b - a))
-        return out
+        return alpha[-1]
 
 
 @lru_cache(maxsize=2)
 def _vocabulary(path: str) -> tuple[tuple[str, ...], tuple[float, ...]]:
     """Pieces of a vocabulary file that can stand in a text, and their natural log weights.
 
-    Files whose scores are negative ranks hold no probabilities; a piece then weighs by its rank,
-    as 1 / (rank + 2). Bytes have no scores of their own: they share the weight of one late piece.
+    A unigram file scores by natural logs of probabilities, which are taken as they are. In a file
+    of merges scores are negative ranks and hold no probabilities; a piece then weighs by its rank,
+    as 1 / (rank + 2). Bytes have no scores of their own: they share the weight of the last piece.
+    All weights are scaled to add up to 1.
     """
     import sentencepiece
 
@@ -135,30 +108,16 @@ def _vocabulary(path: str) -> tuple[tuple[str, ...], tuple[float, ...]]:
     return tuple(names), tuple(math.log(r / total) for r in raw)
 
 
-@dataclass(frozen=True)
-class LatticeModel:
-    """What scoring needs: fitted weights, the weight of the end, and sizes of the training part."""
-
-    path: str
-    weights: tuple[float, ...]
-    end_weight: float
-    ends: int
-    train_tokens: int
-    distinct: int
-
-
 @lru_cache(maxsize=1)
-def _lattice(model: LatticeModel) -> Lattice:
-    return Lattice(list(_vocabulary(model.path)[0]), list(model.weights))
-
-
-def _lower(text: str | None) -> list[bytes]:
-    """Words with A-Z in lower case; ``bytes.lower`` leaves other letters alone."""
-    return [w.lower() for w in words(text)] if text else []
+def vocabulary_lattice(path: str) -> Lattice:
+    """The lattice of a vocabulary file, made once by each Python worker."""
+    names, weights = _vocabulary(path)
+    return Lattice(list(names), list(weights))
 
 
-def word_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """(word, n): how often each word occurs in all texts; the empty word counts the texts."""
+def word_counts(docs: DataFrame) -> DataFrame:
+    """(word, n): how often each word of the texts occurs in those that are not held out; the empty
+    word counts the texts. ``docs``: (text, held_out)."""
 
     def run(batches):
         held: Counter = Counter()
@@ -170,60 +129,36 @@ def word_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
             )
 
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                held[b""] += 1
-                held.update((text or "").encode().lower().split())
+            for text, out in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                own = (text or "").encode().lower().split()
+                if out:
+                    held.update(dict.fromkeys(own, 0))
+                else:
+                    held[b""] += 1
+                    held.update(own)
                 if len(held) >= _HELD:
                     yield made()
                     held.clear()
         if held:
             yield made()
 
-    counted = docs.select(F.col(text_col).cast("string")).mapInArrow(run, "word string, n bigint")
+    counted = docs.select("text", "held_out").mapInArrow(run, "word string, n bigint")
     return counted.groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def fit_lattice(counts: DataFrame, path: str) -> LatticeModel:
-    """Fit the piece weights to staged word counts by one step of expectation and maximization.
+def valued_words(counts: DataFrame, path: str) -> DataFrame:
+    """(word, n, value): ``value`` is the natural log of the word's probability, 0 for the end."""
 
-    Expected uses are summed by Spark in millionths, as whole numbers, so the order of the sums
-    does not matter; one row per piece of the vocabulary reaches the driver.
-    """
-    names, weights = _vocabulary(path)
-    ends, total, distinct = counts.agg(
-        F.sum(F.when(F.col("word") == "", F.col("n"))), F.sum("n"), F.count("*")
-    ).first()
-    ends, total = ends or 0, total or 0
+    def make():
+        lattice = vocabulary_lattice(path)
 
-    def run(batches):
-        lattice = Lattice(list(names), list(weights))
-        held: Counter = Counter()
-        for batch in batches:
-            rows = batch.to_pydict()
-            for word, n in zip(rows["word"], rows["n"]):
-                for piece, share in lattice.expected(word):
-                    held[piece] += n * share
-        yield pa.RecordBatch.from_pydict(
-            {"piece": list(held), "n": [round(v * 1e6) for v in held.values()]}, schema=_EXPECTED
-        )
+        def step(batch):
+            values = [lattice.word_log(word) if word else 0.0 for word in batch["word"]]
+            return {"word": batch["word"], "n": batch["n"], "value": values}
 
-    found = (
-        counts.where("word <> ''")
-        .select("word", "n")
-        .mapInArrow(run, "piece int, n bigint")
-        .groupBy("piece")
-        .agg(F.sum(F.col("n").cast("decimal(38,0)")).alias("n"))
-        .collect()
-    )
-    uses = {r.piece: float(r.n) / 1e6 for r in found}
-    # The file's weights stay as a prior worth one use per piece, so that no piece has none.
-    size = len(names)
-    raw = [uses.get(i, 0.0) + size * math.exp(w) for i, w in enumerate(weights)]
-    mass = sum(raw) + ends + 1.0
-    return LatticeModel(
-        path, tuple(math.log(r / mass) for r in raw), math.log((ends + 1.0) / mass),
-        int(ends), int(total), int(distinct),
-    )
+        return step
+
+    return map_columns(counts, make, _VALUED)
 
 
 _SCORED = pa.schema(
@@ -234,87 +169,98 @@ _SCORED = pa.schema(
         ("n_tokens", pa.int64()),
         ("known", pa.int64()),
         ("logs", pa.float64()),
-        ("score", pa.float64()),
+        ("value", pa.float64()),
         ("rare", pa.list_(pa.struct([("word", pa.string()), ("uses", pa.int64())]))),
     ]
 )
 
 
 def lattice_scores(docs: DataFrame, held_out, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Scores of all rows, from a model of those for which ``held_out`` is not true.
+    """Scores of all rows; counts are those of the rows for which ``held_out`` is not true.
 
     A null or empty text is its end alone. A null id stays null and is never held out; repeated
-    rows are learnt from and scored each; other columns are not read. With no training row every
-    count is 0 and the pieces keep the weights of their file.
+    rows are counted and scored each; whole texts are read, however long; other columns are not
+    read; an empty table gives no rows. With no training row every count is 0, and a text ends
+    after a word with probability 1/2.
 
-    The counts of the most frequent words go to all workers, a bounded list; those of the other
-    words, a table that grows with the input, are joined to the words that need them.
+    The most frequent words, a bounded number, go to all workers; the other words, a table that
+    grows with the input, are joined to the documents that have them.
     """
     rows = docs.select(
         F.col(id_col).cast("bigint").alias("doc_id"),
         F.col(text_col).cast("string").alias("text"),
         F.coalesce(held_out, F.lit(False)).alias("held_out"),
     )
-    counts = stage(word_counts(rows.where(~F.col("held_out"))), "counts")
-    model = fit_lattice(counts, path)
-    short = counts.where((F.col("word") != "") & (F.octet_length("word") <= HEAD_BYTES))
-    head = {
-        r.word.encode(): r.n for r in short.orderBy(F.desc("n"), "word").limit(HEAD_WORDS).collect()
-    }
-    least = min(head.values(), default=0)
-    head[b""] = model.ends
+    table = stage(valued_words(word_counts(rows), path), "words")
+    short = table.where((F.col("word") != "") & (F.octet_length("word") <= HEAD_BYTES))
+    # All words with counts above the one that the word at the head's end has.
+    sums = table.agg(
+        F.coalesce(F.sum(F.when(F.col("word") == "", F.col("n"))), F.lit(0)).alias("ends"),
+        F.coalesce(F.sum("n"), F.lit(0)).alias("total"),
+        F.count_if(F.col("n") > 0).alias("distinct"),
+    ).first()
+    place = max(0.0, 1 - HEAD_WORDS / max(1, short.count()))
+    least = short.agg(F.percentile_approx("n", F.lit(place), F.lit(20_000))).first()[0] or 0
+    head = {r["word"].encode(): (math.log10(r["n"] + 1), r["value"]) for r in short.where(F.col("n") > least).collect()}
+    ends, total, distinct = sums["ends"], sums["total"], sums["distinct"]
+    end_share = (ends + 1) / (total + 2)
+    goes_on, stops = math.log(1 - end_share), math.log(end_share)
     shared = docs.sparkSession.sparkContext.broadcast(head)
 
     def run(batches):
-        lattice, known = _lattice(model), shared.value
-        logs = {w: math.log10(n + 1) for w, n in known.items()}
-        end_known, end_log = int(known[b""] > 0), logs[b""]
+        known = shared.value
+        end_known, end_log = int(ends > 0), math.log10(ends + 1)
         number = TaskContext.get().partitionId() << 40
         for batch in batches:
             data = batch.to_pydict()
             out = {name: [] for name in _SCORED.names}
             for doc_id, text, held in zip(data["doc_id"], data["text"], data["held_out"]):
                 uses = Counter((text or "").encode().lower().split())
-                total, seen, base, score, rare = 1, end_known, end_log, model.end_weight, []
+                words, seen, base, value, rare = 0, end_known, end_log, 0.0, []
                 for word, n in uses.items():
-                    total += n
-                    score += n * lattice.word_log(word)
-                    own = logs.get(word)
+                    words += n
+                    own = known.get(word)
                     if own is None:
                         rare.append({"word": word.decode(), "uses": n})
                     else:
-                        base += n * own
+                        base += n * own[0]
+                        value += n * own[1]
                         seen += n
-                row = (number, doc_id, held, total, seen, base, score / _LOG10, rare)
-                for name, value in zip(_SCORED.names, row):
-                    out[name].append(value)
+                row = (number, doc_id, held, words + 1, seen, base, value + words * goes_on + stops, rare)
+                for name, x in zip(_SCORED.names, row):
+                    out[name].append(x)
                 number += 1
             yield pa.RecordBatch.from_pydict(out, schema=_SCORED)
+        known = data = out = None
+        release_memory()
 
     scored = stage(
         rows.mapInArrow(
             run,
             "row bigint, doc_id bigint, held_out boolean, n_tokens bigint, known bigint, logs double, "
-            "score double, rare array<struct<word:string,uses:bigint>>",
+            "value double, rare array<struct<word:string,uses:bigint>>",
         ),
         "scored",
     )
-    tail = counts.where((F.col("n") <= least) | (F.octet_length("word") > HEAD_BYTES))
+    tail = table.where((F.col("n") <= least) | (F.octet_length("word") > HEAD_BYTES))
     rest = (
         scored.select("row", F.explode("rare").alias("r"))
         .select("row", F.col("r.word").alias("word"), F.col("r.uses").alias("uses"))
         .join(tail, "word")
         .groupBy("row")
-        .agg(F.sum("uses").alias("uses"), F.sum(F.col("uses") * F.log10(F.col("n") + 1)).alias("more"))
+        .agg(
+            F.sum(F.when(F.col("n") > 0, F.col("uses"))).alias("uses"),
+            F.sum(F.col("uses") * F.log10(F.col("n") + 1)).alias("more"),
+            F.sum(F.col("uses") * F.col("value")).alias("worth"),
+        )
     )
-    room = math.log10(model.train_tokens + model.distinct + 1)
-    zero = F.lit(0)
+    room = math.log10(total + distinct + 1)
     return scored.drop("rare").join(rest, "row", "left").select(
         "doc_id",
         "held_out",
         "n_tokens",
-        (F.col("known") + F.coalesce("uses", zero)).alias("n_known"),
-        F.lit(model.train_tokens).cast("bigint").alias("train_tokens"),
+        (F.col("known") + F.coalesce("uses", F.lit(0))).alias("n_known"),
+        F.lit(total).cast("bigint").alias("train_tokens"),
         (F.col("logs") + F.coalesce("more", F.lit(0.0)) - F.col("n_tokens") * room).alias("base_score"),
-        "score",
+        ((F.col("value") + F.coalesce("worth", F.lit(0.0))) / _LOG10).alias("score"),
     )

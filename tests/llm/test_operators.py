@@ -9,6 +9,7 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -221,9 +222,37 @@ def test_lattice_sums_all_segmentations():
     own = lattice.Lattice(names, [np.log(1 / len(names))] * len(names))
     p = 1 / len(names)
     # ▁ab: one piece; ▁a+b, ▁+ab: two; ▁+a+b: three.
-    assert own.word_log(b"ab") == pytest.approx(np.log(p + 2 * p**2 + p**3))
-    assert sum(v for _, v in own.expected("ab")) == pytest.approx((p + 4 * p**2 + 3 * p**3) / (p + 2 * p**2 + p**3))
-    assert own.word_log("é".encode()) == pytest.approx(np.log(p**3))
+    assert own.word_log("ab") == pytest.approx(np.log(p + 2 * p**2 + p**3))
+    assert own.word_log("é") == pytest.approx(np.log(p**3))
+
+
+def _segmentations(text, pieces, spelt):
+    """The summed probability of all ways to cut a text, one by one."""
+    if not text:
+        return 1.0
+    total = 0.0
+    for k in range(1, len(text) + 1):
+        own = pieces.get(text[:k]) or (spelt(text[0]) if k == 1 else 0.0)
+        if own:
+            total += own * _segmentations(text[k:], pieces, spelt)
+    return total
+
+
+def test_a_text_scores_the_sum_over_all_its_segmentations(spark):
+    names, weights = lattice._vocabulary(PIECES)
+    assert sum(map(np.exp, weights)) == pytest.approx(1.0)
+    whole = {n: float(np.exp(w)) for n, w in zip(names, weights)}
+    spelt = lambda c: float(np.prod([whole[f"<0x{b:02X}>"] for b in c.encode()]))
+    pieces = {n: p for n, p in whole.items() if not (len(n) == 6 and n.startswith("<0x"))}
+    texts = ["the lion is here", "Zürich 漢 thEsE  the", "", None, "unhappily"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    words = [(t or "").lower().split() for t in texts]
+    share = (len(texts) + 1) / (sum(map(len, words)) + len(texts) + 2)
+    for r in lattice.lattice_scores(docs, F.lit(False), PIECES).collect():
+        expected = np.log10(share) + sum(
+            np.log10(_segmentations("▁" + w, pieces, spelt)) + np.log10(1 - share) for w in words[r.doc_id]
+        )
+        assert r.score == pytest.approx(expected, rel=1e-9)
 
 
 def test_lattice_scores(spark, odd, empty):
@@ -250,9 +279,9 @@ def test_lattice_scores(spark, odd, empty):
 def test_words_outside_the_head_are_joined(spark, monkeypatch):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     held = fold("doc_id", 7) == 2
-    whole = {r.doc_id: (r.n_known, round(r.base_score, 6)) for r in lattice.lattice_scores(docs, held, PIECES).collect()}
+    whole = {r.doc_id: (r.n_known, round(r.base_score, 6), round(r.score, 6)) for r in lattice.lattice_scores(docs, held, PIECES).collect()}
     monkeypatch.setattr(lattice, "HEAD_WORDS", 10)
-    small = {r.doc_id: (r.n_known, round(r.base_score, 6)) for r in lattice.lattice_scores(docs, held, PIECES).collect()}
+    small = {r.doc_id: (r.n_known, round(r.base_score, 6), round(r.score, 6)) for r in lattice.lattice_scores(docs, held, PIECES).collect()}
     assert small == whole
 
 
