@@ -1,7 +1,8 @@
 """Personal data: proposed spans, judged by boosted trees with calibrated thresholds.
 
 Generators propose overlapping spans with high recall: strict ones (the base) and loose ones, for
-e-mail addresses written out, numbers without a plus sign, bracketed dots. Gradient-boosted trees
+e-mail addresses written out, numbers without a plus sign, bracketed dots, and for secrets: long
+runs of letters and digits, which may be passwords, tokens or keys, or nothing at all. Boosted trees
 judge each loose proposal by its format and by the text around it; a logistic fit on proposals
 they did not see turns their margin into a probability, and a threshold for each kind is the
 lowest one that holds the wanted precision there. Base spans always stay; accepted spans that
@@ -12,9 +13,13 @@ from __future__ import annotations
 
 import hashlib
 import json
+import random
 import re
+from bisect import bisect_left, bisect_right
+from collections.abc import Iterable
 from dataclasses import dataclass
 from functools import lru_cache
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -22,10 +27,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from foldlog.llm.common import map_columns, release_memory
+from foldlog.staging import stage
 
 #: The kinds in the order in which they are listed, the characters of an address,
 #: the strict patterns, and words that speak for a kind when they stand before a span.
-KINDS = ("email", "ip", "card", "phone")
+BASE_KINDS = ("email", "ip", "card", "phone")
+KINDS = (*BASE_KINDS, "secret")
 _LOCAL = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-"
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
 # A run of digits is tried once, from its first digit: inside it no other start can match.
@@ -37,7 +44,15 @@ _CUES = {
     "ip": ("ip", "host", "server", "addr", "node"),
     "card": ("card", "visa", "credit", "karte", "carte", "tarjeta"),
     "phone": ("phone", "tel", "call", "fax", "mobil", "cell", "anruf", "appel"),
+    "secret": ("password", "passwd", "pwd", "secret", "token", "key", "auth", "credential"),
 }
+#: How keys and tokens of well-known services begin.
+_PREFIXES = ("AKIA", "ASIA", "AIza", "ghp_", "gho_", "ghs_", "github_pat_", "glpat-", "sk-", "sk_live_", "xoxb-", "xoxp-")
+# What a strict rule takes for a secret: a value that is assigned to such a name, or a known prefix.
+_ASSIGNED = re.compile(
+    r"(?:password|passwd|pwd|secret|token|api[_ -]?key|access[_ -]?key|credential)s?[\"']?\s{0,2}(?:[=:]|=>|is)\s{0,2}[\"']?\Z",
+    re.IGNORECASE,
+)
 #: The loose patterns. Each begins with the character class that is looked for; what
 #: must not stand before it is checked after.
 _LOOSE = {
@@ -52,6 +67,12 @@ _LOOSE_AT = re.compile(
     r"[A-Za-z0-9-]{1,63}+(?: ?(?:\.|\(dot\)|\[dot\]|\{dot\}| dot ) ?[A-Za-z0-9-]{1,63}+){1,8}"
 )
 _DIGIT = re.compile("[0-9]")
+_LETTER = re.compile("[A-Za-z]")
+# A run is tried once, from its first character.
+_RUN = re.compile(r"[A-Za-z0-9_+/-](?<![A-Za-z0-9_+/-]{2})[A-Za-z0-9_+/-]{11,}+={0,2}")
+
+#: No span is accepted below this probability, whatever precision the held ones show.
+_LEAST = 0.35
 
 Span = tuple[str, int, int]
 
@@ -109,27 +130,68 @@ def loose_spans(text: str) -> list[Span]:
     """Proposals of high recall; they may overlap each other and the strict ones."""
     out = []
     for m in _LOOSE_AT.finditer(text):
-        held = text[max(0, m.start() - 65) : m.start()]
-        held = held[:-1] if held.endswith(" ") else held
-        size = len(held) - len(held.rstrip(_LOCAL))
-        if size:
-            out.append(("email", m.start() - size - (text[m.start() - 1] == " "), m.end()))
+        # The local part is the whole run before; runs of different matches have no part in common.
+        end = m.start() - (m.start() > 0 and text[m.start() - 1] == " ")
+        start = end
+        while start and text[start - 1] in _LOCAL:
+            start -= 1
+        if start < end:
+            out.append(("email", start, m.end()))
     if _DIGIT.search(text):
         for kind, pattern in _LOOSE.items():
             out.extend((kind, *m.span()) for m in pattern.finditer(text))
+        for m in _RUN.finditer(text):
+            if _DIGIT.search(m.group()) and _LETTER.search(m.group()):
+                out.append(("secret", *m.span()))
     return out
 
 
+def strict_secret(text: str, span: Span) -> bool:
+    """Whether a run is assigned to a name for secrets, or begins like a key of a known service."""
+    before = text[max(0, span[1] - 40) : span[1]]
+    return text[span[1] : span[2]].startswith(_PREFIXES) or bool(_ASSIGNED.search(before))
+
+
+class Intervals:
+    """Disjoint intervals that others are looked up in; those that overlap or touch are joined."""
+
+    def __init__(self, spans: Iterable[Span] = ()):
+        self.starts: list[int] = []
+        self.ends: list[int] = []
+        for _, start, end in sorted(spans, key=itemgetter(1, 2)):
+            if self.ends and start <= self.ends[-1]:
+                self.ends[-1] = max(self.ends[-1], end)
+            else:
+                self.starts.append(start)
+                self.ends.append(end)
+
+    def meets(self, span: Span) -> bool:
+        """Whether a span that is not empty has a place in common with one of these."""
+        at = bisect_left(self.starts, span[2])
+        return at > 0 and self.ends[at - 1] > span[1]
+
+    def covers(self, span: Span) -> bool:
+        at = bisect_right(self.starts, span[1])
+        return at > 0 and self.ends[at - 1] >= span[2]
+
+    def add(self, span: Span) -> None:
+        """Add a span that meets none."""
+        at = bisect_left(self.starts, span[1])
+        self.starts.insert(at, span[1])
+        self.ends.insert(at, span[2])
+
+
 FEATURES = (
     "kind", "length", "digits", "letters", "separators", "kinds of separator", "plus", "luhn",
     "octets", "groups", "longest group", "last letters", "symbol at", "word at", "cue", "cue of another",
     "letter before", "letter after", "digits before", "digits after", "leading zero", "distinct digits",
-    "dots written out", "dots before a space",
+    "dots written out", "dots before a space", "known prefix", "assigned", "hexadecimal", "capitals",
+    "distinct characters", "changes between letters and digits", "vowels", "words joined",
 )
 
 
 def features(text: str, span: Span, around: int = 32) -> list[float]:
-    """Format of a span and what stands around it. Whether a strict rule holds is no feature."""
+    """Format of a span and what stands around it."""
     kind, start, end = span
     own, before, after = text[start:end], text[max(0, start - around) : start].lower(), text[end : end + around]
     digits = _digits(own)
@@ -146,6 +208,10 @@ def features(text: str, span: Span, around: int = 32) -> list[float]:
         before[-1:].isalpha(), after[:1].isalpha(), len(_digits(before)), len(_digits(after)),
         digits.startswith("0"), len(set(digits)),
         len(re.findall(r" dot |[([{](?:dot|\.)[)\]}]", own)), own.count(". ") + own.count(".\n"),
+        own.startswith(_PREFIXES), bool(_ASSIGNED.search(before)), not own.strip("0123456789abcdefABCDEF"),
+        sum("A" <= c <= "Z" for c in own) / len(own), len(set(own)) / len(own),
+        len(re.findall("(?<=[0-9])[A-Za-z]|(?<=[A-Za-z])[0-9]", own)) / len(own),
+        sum(c in "aeiouAEIOU" for c in own) / len(own), sum(c in "_+/-" for c in own),
     ]
 
 
@@ -156,18 +222,19 @@ def features(text: str, span: Span, around: int = 32) -> list[float]:
 class Boosting:
     """How the trees are grown and the thresholds chosen.
 
-    ``max_documents`` and ``max_proposals`` bound the sample that is fitted: the documents with
-    the smallest hashes of their ids.
+    ``max_documents`` and ``max_proposals`` bound the sample that is fitted, about so many, chosen
+    by hashes. ``max_respelt``: strict spans of one document that are spelt otherwise as examples.
     """
 
     trees: int = 60
     depth: int = 3
     rate: float = 0.2
-    leaf_weight: float = 4.0
+    leaf_weight: float = 2.0
     bins: int = 16
     precision: float = 0.95
     max_documents: int = 20_000
     max_proposals: int = 20_000
+    max_respelt: int = 8
 
 
 def _grow(x: np.ndarray, grad: np.ndarray, hess: np.ndarray, cuts: list[np.ndarray], how: Boosting) -> list:
@@ -266,7 +333,7 @@ def fit(x: np.ndarray, y: np.ndarray, held: np.ndarray, how: Boosting = Boosting
         order = np.argsort(-prob[own], kind="stable")
         right = np.cumsum(yh[own][order]) / np.arange(1, len(order) + 1)
         good = np.flatnonzero(right >= how.precision)
-        thresholds.append(max(0.5, float(prob[own][order][good[-1]])) if len(good) else 1.01)
+        thresholds.append(max(_LEAST, float(prob[own][order][good[-1]])) if len(good) else 1.01)
     return PiiModel(tuple(trees), slope, shift, tuple(thresholds))
 
 
@@ -275,13 +342,33 @@ def fit(x: np.ndarray, y: np.ndarray, held: np.ndarray, how: Boosting = Boosting
 #: Examples that are always among the labelled ones, so that a model can be fitted
 #: on any table. Numbers from ranges set aside for examples.
 SEEDS = {
-    "email": ("ann.lee@example.com", "info@mail.example.org", "b_99@dept.example.net"),
+    "email": (
+        "ann.lee@example.com", "info@mail.example.org", "b_99@dept.example.net",
+        "a.rather.long.mailbox.name.of.some.department.that.goes.on.and.on.and.on.and.on@example.com",
+    ),
     "ip": ("192.0.2.44", "198.51.100.7", "203.0.113.250"),
     "card": ("4111111111111111", "5555 5555 5555 4444", "3782-822463-10005"),
     "phone": ("+1 (202) 555-0143", "+44 20 7946 0958", "+49 30 1234567"),
 }
 
 
+
+
+def _random_secrets() -> tuple[str, ...]:
+    """Made-up keys and passwords, the same in every run: random characters after known beginnings
+    or alone."""
+    rng, upper, digits = random.Random(7), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
+    forms = [("AKIA", upper + digits, 16)] * 4 + [("ghp_", upper + upper.lower() + digits, 36), ("sk-", upper.lower() + digits, 40)]
+    forms += [("", digits + "abcdef", 18), ("", digits + "abcdef", 40), ("", upper + upper.lower() + digits, 24)]
+    return tuple(start + "".join(rng.choices(letters, k=size)) for start, letters, size in forms)
+
+
+SEEDS["secret"] = _random_secrets()
+
+#: The texts in which these examples stand.
+_CONTEXTS = ("see {} and so on", "{}", "that one is {}.", "They said:\n{}\nand went on", "1) {}, 2) another")
+
+
 def variants(kind: str, own: str) -> list[tuple[str, bool]]:
     """Other spellings of a strict span (true), and look-alikes that are none (false)."""
     if kind == "email":
@@ -300,6 +387,12 @@ def variants(kind: str, own: str) -> list[tuple[str, bool]]:
             (f"{int(a) + 300}.{b}.{c}.{d}", False),
             (f"{a}. {b}. {c}. {d}", False),
         ]
+    if kind == "secret":
+        plain = [(f"revision {own}", False), (f"page-{own[:4]}-of-the-long-name-{len(own)}", False), (f"sha {own}", False)]
+        named = [(f"{name}{mark}{own}", True) for name in ("password", "api_key", "token") for mark in ("=", ": ", ' = "')]
+        if own.startswith(_PREFIXES):
+            return [*named, (f"id {own}", True), (own, True), (f"from ({own})", True), (f"x{own[4:]}", False)]
+        return named + plain
     digits = _digits(own)
     if kind == "card":
         wrong = digits[:-1] + str((int(digits[-1]) + 3) % 10)
@@ -313,93 +406,110 @@ def variants(kind: str, own: str) -> list[tuple[str, bool]]:
         ("00" + own[1:], True),
         (f"tel {own[1:]}", True),
         (f"call {own[1:].replace(' ', '/')}", True),
+        (f"0049 {digits[2:]}", True),
         (digits, False),
         (f"{digits[:4]}. {digits[4:]}", False),
     ]
 
 
-def labelled_proposals(text: str, seed: int) -> list[tuple[list[float], bool]]:
+def labelled_proposals(text: str, most: int = Boosting.max_respelt) -> list[tuple[list[float], bool]]:
     """Features and labels of the proposals of a text and of its strict spans spelt otherwise.
 
-    A proposal that a strict span covers is personal data, one that overlaps none is not. Each
-    strict span is then replaced in its place by its variants, whose labels are known.
+    A proposal that a strict span of its kind covers is personal data, one that overlaps none is
+    not; a run is a secret if the strict rule says so. Up to ``most`` strict spans are then
+    replaced in their places by their variants, whose labels are known.
     """
     out: list[tuple[list[float], bool]] = []
     strict = base_spans(text)
-    for kind, start, end in loose_spans(text):
-        touching = [s for s in strict if s[1] < end and start < s[2]]
-        if not touching:
-            out.append((features(text, (kind, start, end)), False))
-        elif any(s[0] == kind and s[1] <= start and end <= s[2] for s in touching):
-            out.append((features(text, (kind, start, end)), True))
-    for kind, start, end in strict[:8]:
+    everything = Intervals(strict)
+    own_kind = {kind: Intervals(s for s in strict if s[0] == kind) for kind in BASE_KINDS}
+    secrets = []
+    for span in loose_spans(text):
+        if span[0] == "secret":
+            if not everything.meets(span):
+                found = strict_secret(text, span)
+                out.append((features(text, span), found))
+                secrets += [span] if found else []
+        elif not everything.meets(span):
+            out.append((features(text, span), False))
+        elif own_kind[span[0]].covers(span):
+            out.append((features(text, span), True))
+    for kind, start, end in sorted([*strict, *secrets], key=_order)[:most]:
         for own, label in variants(kind, text[start:end]):
             changed = text[max(0, start - 64) : start] + own + text[end : end + 64]
             at = min(start, 64)
             for k, a, b in loose_spans(changed):
-                if a < at + len(own) and at < b and (k == kind or not label):
-                    out.append((features(changed, (k, a, b)), label))
+                if a < at + len(own) and at < b:
+                    out.append((features(changed, (k, a, b)), label and k == kind))
     return out
 
 
-_LABELLED = pa.schema([("x", pa.list_(pa.float64())), ("y", pa.bool_()), ("held", pa.bool_()), ("order", pa.int64())])
+_LABELLED = pa.schema([("x", pa.list_(pa.float64())), ("y", pa.bool_()), ("held", pa.bool_()), ("drawn", pa.int64())])
 
 
 def fit_pii_model(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", how: Boosting = Boosting()) -> PiiModel:
     """Fit on proposals from a bounded sample of documents, and on the seeds.
 
-    The sample: the ``max_documents`` ids with the smallest hashes, which no property of a text
-    decides; of their proposals, the ``max_proposals`` smallest by hash reach the driver.
+    The sample is a share of the documents by a hash of their ids, which no property of a text
+    decides; of their proposals a share by a hash reaches the driver.
     """
-    ids = docs.select(F.col(id_col).cast("bigint").alias("doc_id")).where("doc_id IS NOT NULL")
-    sample = ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(how.max_documents).distinct()
     rows = docs.select(
         F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text")
-    ).join(F.broadcast(sample), "doc_id", "left_semi")
+    ).where("doc_id IS NOT NULL")
+    share = min(1.0, how.max_documents / max(1, rows.count()))
+    rows = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int(share * (1 << 30)))
 
     def make():
         def step(batch):
             out = {name: [] for name in _LABELLED.names}
             for doc_id, text in zip(batch["doc_id"], batch["text"]):
-                for k, (x, y) in enumerate(labelled_proposals(text or "", doc_id)):
+                for k, (x, y) in enumerate(labelled_proposals(text or "", how.max_respelt)):
                     digest = hashlib.blake2b(f"{doc_id}:{k}".encode(), digest_size=8).digest()
                     out["x"].append([float(v) for v in x])
                     out["y"].append(y)
                     out["held"].append(digest[0] % 4 == 0)
-                    out["order"].append(int.from_bytes(digest, "little") >> 1)
+                    out["drawn"].append(int.from_bytes(digest[1:5], "little"))
             return out
 
         return step
 
-    found = map_columns(rows, make, _LABELLED).orderBy("order").limit(how.max_proposals).collect()
+    proposals = stage(map_columns(rows, make, _LABELLED), "proposals")
+    share = min(1.0, how.max_proposals / max(1, proposals.count()))
+    found = proposals.where(F.col("drawn") < int(share * (1 << 32))).select("x", "y", "held").collect()
+    found.sort(key=lambda r: r.x)
     x = [r.x for r in found]
     y = [r.y for r in found]
     held = [r.held for r in found]
     for kind in KINDS:
         for own in SEEDS[kind]:
-            for k, (fx, fy) in enumerate(labelled_proposals(f"see {own} and so on", 0)):
-                x.append([float(v) for v in fx])
-                y.append(fy)
-                held.append(k % 2 == 1)
+            named = f"password={own}" if kind == "secret" and not own.startswith(_PREFIXES) else own
+            for context in _CONTEXTS:
+                for k, (fx, fy) in enumerate(labelled_proposals(context.format(named))):
+                    x.append([float(v) for v in fx])
+                    y.append(fy)
+                    held.append(k % 4 == 1)
     return fit(np.array(x), np.array(y, float), np.array(held), how)
 
 
 def judged_spans(text: str, model: PiiModel) -> tuple[list[Span], list[Span]]:
     """(base spans, all spans): accepted proposals that overlap no base span and no better one."""
     base = base_spans(text)
-    loose = [s for s in loose_spans(text) if not any(b[1] < s[2] and s[1] < b[2] for b in base)]
+    taken = Intervals(base)
+    loose = [s for s in loose_spans(text) if not taken.meets(s)]
     if not loose:
         return base, base
-    x = np.array([features(text, s) for s in loose], float)
-    p = model.probability(x)
-    taken = list(base)
+    p = np.concatenate(
+        [
+            model.probability(np.array([features(text, s) for s in loose[k : k + 4096]], float))
+            for k in range(0, len(loose), 4096)
+        ]
+    )
+    added = []
     for i in sorted(range(len(loose)), key=lambda i: (-p[i], _order(loose[i]))):
-        kind, start, end = loose[i]
-        if p[i] >= model.thresholds[KINDS.index(kind)] and not any(
-            t[1] < end and start < t[2] for t in taken
-        ):
-            taken.append(loose[i])
-    return base, sorted(taken, key=_order)
+        if p[i] >= model.thresholds[KINDS.index(loose[i][0])] and not taken.meets(loose[i]):
+            taken.add(loose[i])
+            added.append(loose[i])
+    return base, sorted(base + added, key=_order)
 
 
 def listed(spans: list[Span]) -> str:
@@ -409,18 +519,20 @@ def listed(spans: list[Span]) -> str:
 _SPANS = pa.schema(
     [
         ("doc_id", pa.int64()),
-        *((f"n_{kind}", pa.int64()) for kind in KINDS),
+        *((f"n_{kind}", pa.int64()) for kind in BASE_KINDS),
         ("base_sha256", pa.string()),
         ("spans", pa.string()),
+        ("n_spans", pa.int64()),
     ]
 )
 
 
 def pii_spans(docs: DataFrame, model: PiiModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: counts of base spans by kind, the digest of their list, and all spans.
+    """Per row: counts of base spans by kind, the digest of their list, all spans and their number.
 
-    A null text counts as empty (no spans), a null id stays null, repeated rows are searched each.
-    Other columns are not read. Spans are in code points, the end excluded.
+    A null text counts as empty (no spans), a null id stays null, repeated rows are searched each;
+    whole texts are searched, in time that grows with length and spans. Other columns are not read;
+    an empty table gives no rows. Spans are in code points, the end excluded.
     """
     packed = model.to_json()
 
@@ -432,8 +544,9 @@ def pii_spans(docs: DataFrame, model: PiiModel, id_col: str = "doc_id", text_col
             for doc_id, text in zip(batch["doc_id"], batch["text"]):
                 base, spans = judged_spans(text or "", own)
                 out["doc_id"].append(doc_id)
-                for kind in KINDS:
+                for kind in BASE_KINDS:
                     out[f"n_{kind}"].append(sum(s[0] == kind for s in base))
+                out["n_spans"].append(len(spans))
                 out["base_sha256"].append(hashlib.sha256(listed(base).encode()).hexdigest())
                 out["spans"].append(listed(spans))
             return out

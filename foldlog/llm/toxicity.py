@@ -39,7 +39,7 @@ _EDGE = 31
 #: Words of more letters are taken in windows of so many, each half in the next.
 WINDOW = 24
 #: Strings whose value a task remembers, and codes of strings that are worked on at once.
-_HELD, _CODES_AT_ONCE = 200_000, 1 << 16
+_HELD, _CODES_AT_ONCE = 200_000, 1 << 15
 #: Where a sentence ends.
 _SENTENCE_END = re.compile(r"(?<=[.!?])\s|\n")
 
