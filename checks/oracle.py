@@ -174,6 +174,10 @@ ORACLE = {
     "global_ordinal": """SELECT *, CAST(row_number() OVER
         (ORDER BY o_custkey NULLS FIRST, o_orderdate NULLS FIRST, o_orderkey) AS BIGINT) AS indice
         FROM orders""",
+    "keyed_payload": f"""WITH log AS ({_EVENTS})
+        SELECT event_id, '{{"' || row_number() OVER (ORDER BY document_id NULLS FIRST, event_id)
+          || '":' || data || '}}' AS keyed FROM log""",
+    "without_brackets": """SELECT event_id, '"' || event_type || '","' || user_id || '","a1"' AS actions FROM events""",
     "latest_live": """SELECT * FROM orders o WHERE NOT EXISTS (SELECT 1 FROM orders d
           WHERE d.o_custkey = o.o_custkey AND d.o_orderpriority = '1-URGENT')
         QUALIFY row_number() OVER

@@ -99,6 +99,18 @@ def epoch_text(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "events").select("event_id", epoch_to_text(as_text).alias("moment"))
 
 
+def without_brackets(spark: SparkSession, folder: str) -> DataFrame:
+    listed = F.to_json(F.array("event_type", F.col("user_id").cast("string"), F.lit("a[1]")))
+    return shape.without_brackets(table(spark, folder, "events").select("event_id", listed.alias("actions")), "actions")
+
+
+def keyed_payload(spark: SparkSession, folder: str) -> DataFrame:
+    """Each payload under its ordinal in the log."""
+    log = change_log(spark, folder).select("document_id", "event_id", "data")
+    numbered = ordinals.global_ordinal(log, [ordinals.ascending("document_id")], ["event_id"])
+    return shape.keyed_payload(numbered, "indice").select("event_id", "keyed")
+
+
 def null_to_default(spark: SparkSession, folder: str) -> DataFrame:
     customers = table(spark, folder, "customer").select(
         "c_custkey",
@@ -400,6 +412,7 @@ QUERIES = {
     "flatten_nested": flatten_nested,
     "flatten_payload": flatten_payload,
     "global_ordinal": global_ordinal,
+    "keyed_payload": keyed_payload,
     "latest_live": latest_live,
     "latest_per_key": latest_per_key,
     "live_rows": live_rows,
@@ -417,4 +430,5 @@ QUERIES = {
     "sql_source": sql_source,
     "stringify_all": stringify_all,
     "union_fill": union_fill,
+    "without_brackets": without_brackets,
 }

@@ -69,6 +69,21 @@ def union_fill(first: DataFrame, second: DataFrame) -> DataFrame:
     return first.unionByName(second, allowMissingColumns=True)
 
 
+def without_brackets(df: DataFrame, column: str) -> DataFrame:
+    """The text of a column without square brackets, wherever they stand."""
+    return df.withColumn(column, F.translate(F.col(f"`{column}`"), "[]", ""))
+
+
+def keyed_payload(df: DataFrame, key: str, payload: str = "data", name: str = "keyed") -> DataFrame:
+    """Add a JSON object whose only member is the payload, named by the key; the payload is a JSON
+    text and stays as it is written. NULL where either is NULL."""
+    key_text = F.col(f"`{key}`").cast("string")
+    # The name is escaped as the only element of a list, whose brackets go.
+    listed = F.to_json(F.array(key_text))
+    member = F.when(key_text.isNotNull(), F.substring(listed, F.lit(2), F.length(listed) - 2))
+    return df.withColumn(name, F.concat(F.lit("{"), member, F.lit(":"), F.col(f"`{payload}`"), F.lit("}")))
+
+
 def distinct_rows(df: DataFrame) -> DataFrame:
     """One of each group of rows that agree in every column, nested and variant ones included.
 

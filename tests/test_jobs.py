@@ -97,3 +97,11 @@ def test_what_is_staged_on_the_way_is_dropped(spark):
     left = os.listdir(shared_folder(spark).removeprefix("file:"))
     assert not any(name.startswith("foldlog-inner") for name in left)
     assert sum(name.startswith("foldlog-outer") for name in left) == 1
+
+
+def test_brackets_and_keyed_payloads(spark):
+    df = spark.createDataFrame([('["a[0]"]', 7, '{"x": [1]}'), (None, None, "{}"), ("", 8, None)], "t string, k long, data string")
+    assert [r.t for r in shape.without_brackets(df, "t").collect()] == ['"a0"', None, ""]
+    assert [r.keyed for r in shape.keyed_payload(df, "k").collect()] == ['{"7":{"x": [1]}}', None, None]
+    odd = spark.createDataFrame([('a"b\\c', "{}")], "k string, data string")
+    assert [json.loads(r.keyed) for r in shape.keyed_payload(odd, "k").collect()] == [{'a"b\\c': {}}]
