@@ -54,17 +54,16 @@ def members(value: str, names: Iterable[str]) -> str:
     return f"try_variant_get({value}, '$', 'struct<{fields}>')"
 
 
-def member_text(value: str, root: str, written: str | None = None) -> str:
+def member_text(value: str, text: str, root: str, written: str | None = None) -> str:
     """Text of a member: ``''`` when absent, NULL for JSON null, JSON text for lists and objects,
-    numbers and truth values as ``scalar_text`` has them.
+    numbers and truth values as ``scalar_text`` has them. ``text`` is its cast to text.
 
     NULL as well where ``root``, the members of the whole document, is NULL.
     """
-    text = f"cast({value} AS string)"
     # Only numbers, truth values and texts that look like them begin or read like this.
     special = f"ascii({text}) BETWEEN 45 AND 57 OR {text} IN ('true', 'false', 'Infinity')"
     return (
-        f"CASE WHEN {value} IS NULL AND {root} IS NOT NULL THEN '' "
+        f"CASE WHEN {text} IS NULL THEN if({value} IS NULL AND {root} IS NOT NULL, '', NULL) "
         f"WHEN {special} THEN {scalar_text(value, text, written)} ELSE {text} END"
     )
 

@@ -112,13 +112,20 @@ def document_fields(
             "*", *(f"{members(value(parent), names)} AS {holder(parent)}" for parent, names in level.items())
         )
 
+    def plain(name: str) -> str:
+        """Column that holds the member's cast to text, which is looked at several times."""
+        return quoted(f"__text.{name}")
+
+    scalars = {name: tuple(path.split(".")) for name, path in fields.items() if name not in objects}
+    df = df.selectExpr("*", *(f"cast({value(parts)} AS string) AS {plain(name)}" for name, parts in scalars.items()))
+
     def text(name: str, path: str) -> str:
         parts = tuple(path.split("."))
         if name in objects:
             found = object_text(value(parts), holder(()))
         else:
             written = None if source is None else written_member(quoted(source), parts)
-            found = member_text(value(parts), holder(()), written)
+            found = member_text(value(parts), plain(name), holder(()), written)
         return f"{found} AS {quoted(name)}"
 
     return df.selectExpr(*kept, *(text(name, path) for name, path in fields.items()))

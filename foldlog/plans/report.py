@@ -110,7 +110,9 @@ def current_events(
     require_unique(ordinals, unique)
     total = [*order, *(ascending(name) for name in unique)]
     newest_first = [F.desc_nulls_last("timestamp"), *(key.sorted(key.column()) for key in total)]
-    named = document_fields(parse_payload(live, "data", mode), {"__id": "id"}, source="data")
+    named = document_fields(parse_payload(live, "data", mode), {"__read": "id"}, source="data")
+    # A generator keeps the filter on the id from being moved below the parse, which it would repeat.
+    named = named.withColumn("__id", F.explode(F.array("__read"))).drop("__read")
     latest = latest_per_key(named, "__id", newest_first).join(ordinals, list(unique))
     latest = latest.select("data", "timestamp", "indice")
     flat = flatten_payload(latest, "data", mode, leaf)
