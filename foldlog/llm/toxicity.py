@@ -39,7 +39,7 @@ _EDGE = 31
 #: Words of more letters are taken in windows of so many, each half in the next.
 WINDOW = 24
 #: Strings whose value a task remembers, and codes of strings that are worked on at once.
-_HELD, _CODES_AT_ONCE = 200_000, 1 << 15
+_HELD, _CODES_AT_ONCE = 100_000, 1 << 14
 #: Where a sentence ends.
 _SENTENCE_END = re.compile(r"(?<=[.!?])\s|\n")
 
@@ -60,7 +60,7 @@ class ToxicityTraining:
     max_strings: int = 3_000
     landmarks: int = 500
     rounds: int = 2
-    variants: int = 3
+    variants: int = 2
     passes: int = 300
     regularization: float = 3e-4
 
@@ -157,7 +157,7 @@ def sequence_weights(strings: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.n
 def kernel_with(strings: list[bytes], landmarks: list[bytes]) -> np.ndarray:
     """The kernel of each string with each landmark."""
     row, col, value = sequence_weights(landmarks)
-    out = np.zeros((len(strings), len(landmarks)))
+    out = np.zeros((len(strings), len(landmarks)), np.float32)
     if not len(col):
         return out
     seen, place = np.unique(col, return_inverse=True)
@@ -268,15 +268,21 @@ def train_machine(strings: list[bytes], y: np.ndarray, weight: np.ndarray, how:
     values, vectors = np.linalg.eigh(kernel_with(landmarks, landmarks))
     good = values > 1e-6 * max(values.max(), 1e-12)
     whiten = vectors[:, good] / np.sqrt(values[good])
-    x = kernel_with(strings, landmarks) @ whiten
+    # Single precision, and some rows at a time: this is held by the driver.
+    single = whiten.astype(np.float32)
+    x1 = np.ones((len(strings), single.shape[1] + 1), np.float32)
+    square = np.zeros((x1.shape[1],) * 2)
+    for begin in range(0, len(strings), 2_000):
+        some = slice(begin, begin + 2_000)
+        x1[some, :-1] = kernel_with(strings[some], landmarks) @ single
+        square += (x1[some] * weight[some, None].astype(np.float32)).T @ x1[some]
     # Squared hinge loss by accelerated gradient steps, deterministic.
-    x1 = np.hstack([x, np.ones((len(x), 1))])
     w = z = np.zeros(x1.shape[1])
-    bound = 2 * float(np.linalg.eigvalsh((x1 * weight[:, None]).T @ x1)[-1]) + how.regularization
+    bound = 2 * float(np.linalg.eigvalsh(square)[-1]) + how.regularization
     t = 1.0
     for _ in range(how.passes):
-        loss = np.maximum(0, 1 - y * (x1 @ z))
-        grad = -2 * (weight * y * loss) @ x1 + how.regularization * z
+        loss = np.maximum(0, 1 - y * (x1 @ z.astype(np.float32)))
+        grad = -2 * ((weight * y * loss).astype(np.float32) @ x1) + how.regularization * z
         nxt = z - grad / bound
         t2 = (1 + np.sqrt(1 + 4 * t * t)) / 2
         z, w, t = nxt + (t - 1) / t2 * (nxt - w), nxt, t2
