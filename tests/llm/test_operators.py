@@ -100,10 +100,13 @@ def test_codec_equals_the_library(odd, empty):
 def test_forgetting_pieces_changes_nothing(monkeypatch):
     texts = [f"word{i % 37} other{i} again" for i in range(300)]
     whole = bpe.BytePairCodec(PATH).encode_batch(texts)
-    monkeypatch.setattr(bpe, "_CACHED", 20)
+    # Room for about 20 pieces.
+    monkeypatch.setattr(bpe, "_CACHED_BYTES", 20 * bpe._PIECE_BYTES)
     small = bpe.BytePairCodec(PATH)
     parts = [small.encode_batch(texts[k : k + 30])[0] for k in range(0, 300, 30)]
     assert np.concatenate(parts).tolist() == whole[0].tolist()
+    small.close()
+    assert not small._pieces and small.encode_batch(texts)[0].tolist() == whole[0].tolist()
 
 
 def test_first_fit_decreasing_equals_brute_force():
