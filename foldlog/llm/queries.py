@@ -34,7 +34,7 @@ def op1_suffix_repetition(spark: SparkSession, folder: str) -> DataFrame:
 
 def op2_subword_lattice(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents")
-    return lattice_scores(docs, fold("doc_id", 7) == 2, public_tokenizers.path("piece_bpe_32k.model"))
+    return lattice_scores(docs, fold("doc_id", 7) == 2, public_tokenizers.path("piece_bpe_32k.model"), learn=True)
 
 
 def op3_perspective_rotation(spark: SparkSession, folder: str) -> DataFrame:

@@ -333,6 +333,63 @@ def test_words_outside_the_head_are_joined(spark, monkeypatch):
     assert small == whole
 
 
+def test_expected_uses_of_pieces():
+    names = ["▁a", "a", "b", "ab", "▁ab", "▁", *(f"<0x{b:02X}>" for b in range(256))]
+    own, p = lattice.Lattice(names, [np.log(1 / len(names))] * len(names)), 1 / len(names)
+    uses = [0.0] * len(names)
+    own.add_uses("ab", uses)
+    total = p + 2 * p**2 + p**3  # ▁ab; ▁a+b, ▁+ab; ▁+a+b
+    assert uses[:6] == pytest.approx([p**2 / total, p**3 / total, (p**2 + p**3) / total, p**2 / total, p / total, (p**2 + p**3) / total])
+    long = [0.0] * len(names)
+    own.add_uses("é" * 300, long)  # far below what a double holds
+    assert (long[5], long[6 + 0xC3], long[6 + 0xA9]) == pytest.approx((1, 300, 300))
+    assert own.word_log("é" * 300) == pytest.approx(601 * np.log(p))
+
+
+def test_learnt_scores_keep_up_with_the_base(spark, monkeypatch, odd, empty):
+    rng = np.random.default_rng(1)
+    known = ["".join(rng.choice(["the", "ion", "er", "ar", "o", "é", "st"], 1 + k % 4)) + "x" * (k % 3) for k in range(300)]
+    share = 1 / np.arange(1, 301)
+    texts = [" ".join(rng.choice(known, 80, p=share / share.sum())) for _ in range(140)]
+    texts += [None, "", "new " * 300, "漢" * 400]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    held = fold("doc_id", 7) == 2
+    rows = lattice.lattice_scores(docs, held, PIECES, learn=True).collect()
+    assert len(rows) == len(texts) and all(np.isfinite(r.score) and r.score < 0 for r in rows)
+    out = [r for r in rows if r.held_out and r.doc_id < 140]
+    assert sum(r.score for r in out) > 1.1 * sum(r.base_score for r in out)
+    # The urn by itself: a word after the other, each put back twice.
+    training = collections.Counter()
+    for k, text in enumerate(texts):
+        if zlib.crc32(str(k).encode()) % 7 != 2:
+            training.update([*(text or "").split(), ""])
+    ends = training.pop("")
+    used, n = sum(training.values()), collections.Counter(training.values())
+    off = (n[1] + 0.5) / (n[1] + 2 * n[2] + 1)
+    counts = spark.createDataFrame([*training.items(), ("", ends)], "word string, n bigint")
+    weights = lattice.learnt_weights(counts, PIECES)
+    assert sum(map(np.exp, weights)) == pytest.approx(1.0)
+    own = lattice.Lattice(list(lattice._vocabulary(PIECES)[0]), weights)
+    for r in rows:
+        drawn, end = collections.Counter(), (ends + 1) / (used + ends + 2)
+        score = np.log(end)
+        for k, word in enumerate((texts[r.doc_id] or "").split()):
+            c, spelt = training[word], own.word_log(word)
+            left = np.log(off * len(training) / used)
+            at_first = np.logaddexp(np.log((c - off) / used), left + spelt) if c else left + spelt
+            again = np.log(drawn[word]) if drawn[word] else -np.inf
+            score += np.logaddexp(np.log(lattice.URN_WORDS) + at_first, again) - np.log(lattice.URN_WORDS + k) + np.log(1 - end)
+            drawn[word] += 1
+        assert r.score == pytest.approx(score / np.log(10), rel=1e-9)
+    monkeypatch.setattr(lattice, "HEAD_WORDS", 10)
+    again = {r.doc_id: r.score for r in lattice.lattice_scores(docs, held, PIECES, learn=True).collect()}
+    assert again == pytest.approx({r.doc_id: r.score for r in rows})
+    assert lattice.lattice_scores(odd, held, PIECES, learn=True).count() == len(ODD)
+    assert lattice.lattice_scores(empty, held, PIECES, learn=True).count() == 0
+    none = {r.doc_id: r for r in lattice.lattice_scores(docs, F.lit(True), PIECES, learn=True).collect()}
+    assert all(np.isfinite(r.score) and r.train_tokens == 0 for r in none.values())
+
+
 def test_perspectives(spark):
     turns = spark.createDataFrame(
         [(1, 0, "system", "s"), (1, 1, "ann", "hi"), (1, 2, None, None), (1, 1, "ann", "hi"), (None, 1, "ann", "x"), (2, 0, "system", "s")],
