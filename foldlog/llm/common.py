@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 #: The characters that end a word, `[\x20\x09-\x0D]`.
 WORD_SPACE = " \t\n\x0b\x0c\r"
 
+#: Batches of rows after which a task gives back what it has freed.
+_RELEASE_EVERY = 4
+
 _DDL = {
     pa.int32(): "int",
     pa.int64(): "bigint",
@@ -52,7 +55,8 @@ def ddl(schema: pa.Schema) -> str:
 
 def release_memory() -> None:
     """Give memory that was freed back to the system. A Python worker outlives its task; without
-    this it holds the most that any earlier stage took, beside the heap of its executor."""
+    this it holds the most that any earlier stage took, beside the heap of its executor. In a task,
+    freed arrays lie between those still in use and are not given back either."""
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
     if trim is not None:
@@ -69,7 +73,9 @@ def map_columns(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         step = make()
-        for batch in batches:
+        for k, batch in enumerate(batches):
+            if k and not k % _RELEASE_EVERY:
+                release_memory()
             made = step(batch.to_pydict())
             yield pa.RecordBatch.from_arrays(
                 [pa.array(made[field.name], type=field.type) for field in schema], schema=schema
@@ -89,7 +95,9 @@ def filter_rows(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         verdict = make()
-        for batch in batches:
+        for k, batch in enumerate(batches):
+            if k and not k % _RELEASE_EVERY:
+                release_memory()
             keep = verdict(batch.column(batch.schema.get_field_index(column)).to_pylist())
             yield batch.filter(pa.array(keep, type=pa.bool_()))
         verdict = batch = keep = None

@@ -38,8 +38,8 @@ _CODE_BITS = 5
 _EDGE = 31
 #: Words of more letters are taken in windows of so many, each half in the next.
 WINDOW = 24
-#: Strings whose value a task remembers, and codes of strings that are worked on at once.
-_HELD, _CODES_AT_ONCE = 100_000, 1 << 14
+#: Strings whose value a task remembers, and codes of strings and texts that are worked on at once.
+_HELD, _CODES_AT_ONCE, _TEXTS_AT_ONCE = 100_000, 1 << 12, 64
 #: Where a sentence ends.
 _SENTENCE_END = re.compile(r"(?<=[.!?])\s|\n")
 
@@ -227,13 +227,14 @@ _FLOOR = -3.0
 def document_values(texts: list[str | None], scorer: Scorer) -> list[tuple[float, bytes | None]]:
     """The value of the strongest string of each text, and that string."""
     out: list[tuple[float, bytes | None]] = []
-    bags = [strings_of(text) for text in texts]
-    for own, value in zip(bags, scorer.values(bags)):
-        if own:
-            at = int(value.argmax())
-            out.append((float(np.clip(value[at], _FLOOR, -_FLOOR)), own[at]))
-        else:
-            out.append((_FLOOR, None))
+    for begin in range(0, len(texts), _TEXTS_AT_ONCE):
+        bags = [strings_of(text) for text in texts[begin : begin + _TEXTS_AT_ONCE]]
+        for own, value in zip(bags, scorer.values(bags)):
+            if own:
+                at = int(value.argmax())
+                out.append((float(np.clip(value[at], _FLOOR, -_FLOOR)), own[at]))
+            else:
+                out.append((_FLOOR, None))
     return out
 
 

@@ -116,3 +116,18 @@ def test_odd_tables_and_labels(spark):
         kept = toxicity.drop_toxic(odd, model)
         assert kept.columns == odd.columns and kept.count() == sum(r.score < 0.5 for r in scores)
     assert toxicity.toxicity_scores(empty, toxicity.fit_toxicity(empty, labels)).count() == 0
+
+
+def test_a_batch_is_scored_in_parts():
+    held = []
+
+    class Watched(toxicity.Scorer):
+        def values(self, texts):
+            held.append(len(texts))
+            return super().values(texts)
+
+    model = toxicity.ToxicityModel(np.arange(1 << 10), np.ones(1 << 10), -1.0, (1.0, 0.0))
+    texts = [f"abc aab ba{chr(97 + k % 26)} {k}" if k % 7 else None for k in range(200)]
+    found = toxicity.document_values(texts, Watched(model))
+    assert max(held) <= toxicity._TEXTS_AT_ONCE < 200
+    assert found == [toxicity.document_values([t], toxicity.Scorer(model))[0] for t in texts]
