@@ -5,6 +5,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -144,3 +145,27 @@ def test_extra_columns_with_clashing_names_stay(spark, tmp_path):
     kept, mild, single, private, packed = _run(spark, folder)
     assert private.columns == docs.columns and kept.count() == 30
     assert single.select(F.min("doc_id")).first()[0] == 0 and packed.count() >= single.count()
+
+
+@pytest.mark.parametrize(
+    "name, operator",
+    [
+        ("quality rules", "keep_unrepetitive"),
+        ("toxicity", "drop_toxic"),
+        ("n-gram Jaccard join", "keep_one_of_each"),
+        ("PII", "redacted"),
+        ("packing", "packed_documents"),
+    ],
+)
+def test_a_stage_run_by_itself_gets_small_batches(spark, tmp_path, monkeypatch, name, operator):
+    def sizes(docs, *_):
+        return docs.mapInArrow(lambda batches: (pa.record_batch({"n": [b.num_rows]}) for b in batches), "n bigint")
+
+    for fit in ("fit_toxicity", "fit_pii_model"):
+        monkeypatch.setattr(corpus_pipeline, fit, lambda *_: None)
+    monkeypatch.setattr(corpus_pipeline, operator, sizes)
+    fresh = spark.newSession()  # without the settings
+    fresh.createDataFrame([(1, 0)], "doc_id bigint, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    found = dict(corpus_pipeline.STAGES)[name](fresh, fresh.range(0, 1000, 1, 1), str(tmp_path))
+    rows = [r.n for r in found.collect()]
+    assert sum(rows) == 1000 and max(rows) <= 256
