@@ -20,7 +20,7 @@ import regex
 from pyspark.sql import DataFrame, types as T
 from pyspark.sql import functions as F
 
-from foldlog.llm.common import release_memory
+from foldlog.llm.common import RELEASE_EVERY, release_memory
 
 #: Unicode's White_Space, and the pattern that cuts text before the merges.
 _SPACE = r"\t-\r \x85\xa0  -     　"
@@ -31,6 +31,7 @@ PATTERN = (
 
 _NO_PAIR = np.int64(1) << 62
 _ID_BITS = 32
+_SPREAD, _UINT64 = 0x9E3779B97F4A7C15, (1 << 64) - 1
 _LONGEST_ROW = 64
 #: Bytes of pieces, with what a table of Python takes for each, that a codec remembers in a task.
 _CACHED_BYTES, _PIECE_BYTES = 48 << 20, 200
@@ -70,9 +71,10 @@ class _Pairs:
             left = left[~stays]
             slots[left] = (slots[left] + 1) & self.mask
             self.probes += bool(len(left))
+        self._keys, self._values = memoryview(self.keys), memoryview(self.values)
 
     def _slot(self, keys: np.ndarray) -> np.ndarray:
-        spread = keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        spread = keys.astype(np.uint64) * np.uint64(_SPREAD)
         return (spread >> self.shift).astype(np.int64)
 
     def find(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -93,6 +95,16 @@ class _Pairs:
             look = look[~hit & (at >= 0)]
         return out.reshape(shape)
 
+    def get(self, left: int, right: int) -> tuple[int, int] | None:
+        """Rank and merged id of one pair of ids, read from the same table."""
+        key = left << _ID_BITS | right
+        slot = (key * _SPREAD & _UINT64) >> int(self.shift)
+        while (at := self._keys[slot]) != key:
+            if at < 0:
+                return None
+            slot = (slot + 1) & self.mask
+        return divmod(self._values[slot], 1 << _ID_BITS)
+
 
 class _Pieces(dict):
     """Pieces of text seen so far, numbered in order, with their ids in one array."""
@@ -158,7 +170,6 @@ class BytePairCodec:
             a, b = merge.split(" ") if isinstance(merge, str) else merge
             pairs.setdefault((vocab[a], vocab[b]), (rank, vocab[a + b]))
         self.pairs = _Pairs(pairs)
-        self._pair = pairs
         value = {c: b for b, c in enumerate(shown)}
         special = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
         size = 1 + max([*vocab.values(), *special.values()])
@@ -322,7 +333,7 @@ class BytePairCodec:
         heap: list[tuple[int, int, int, int, int]] = []
 
         def offer(i: int) -> None:
-            if i >= 0 and nxt[i] >= 0 and (found := self._pair.get((ids[i], ids[nxt[i]]))):
+            if i >= 0 and nxt[i] >= 0 and (found := self.pairs.get(ids[i], ids[nxt[i]])):
                 heapq.heappush(heap, (found[0], i, ids[i], ids[nxt[i]], found[1]))
 
         for i in range(n - 1):
@@ -356,7 +367,9 @@ def _with_column(df: DataFrame, source: str, name: str, kind: T.DataType, path:
     def run(batches):
         own = codec(path)
         step = make(own)
-        for batch in batches:
+        for k, batch in enumerate(batches):
+            if k and not k % RELEASE_EVERY:
+                release_memory()
             column = step(batch.column(batch.schema.get_field_index(source)))
             yield pa.RecordBatch.from_arrays([*batch.columns, column], names=[*batch.schema.names, name])
         own.close()
@@ -391,7 +404,14 @@ def decode_ids(df: DataFrame, path: str, ids_col: str = "ids", text_col: str = "
     """
 
     def make(own: BytePairCodec):
-        return lambda ids: pa.array([own.decode(x or ()) for x in ids.to_pylist()], pa.string())
+        def step(ids: pa.Array) -> pa.Array:
+            # Python's integers of one row at a time: they take many times what Arrow's do.
+            flat, at = ids.values.to_numpy(zero_copy_only=False), ids.offsets.to_pylist()
+            there = ids.is_valid().to_pylist()
+            rows = (flat[i:j].tolist() if x else () for i, j, x in zip(at, at[1:], there))
+            return pa.array(map(own.decode, rows), pa.string())
+
+        return step
 
     return _with_column(df, ids_col, text_col, T.StringType(), path, make)
 
@@ -404,9 +424,11 @@ def round_trip_digests(
         F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text")
     )
     ids = encode_texts(rows, path).drop("text")
+    # "[1,2]" in one buffer: an array of strings has several objects of the JVM for each id.
+    listed = F.to_json("ids")
     return decode_ids(ids, path).select(
         "doc_id",
         F.size("ids").cast("bigint").alias("n_tokens"),
-        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2(F.substring(listed, F.lit(2), F.length(listed) - 2), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )

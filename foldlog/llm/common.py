@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 WORD_SPACE = " \t\n\x0b\x0c\r"
 
 #: Batches of rows after which a task gives back what it has freed.
-_RELEASE_EVERY = 4
+RELEASE_EVERY = 4
 
 _DDL = {
     pa.int32(): "int",
@@ -74,7 +74,7 @@ def map_columns(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         step = make()
         for k, batch in enumerate(batches):
-            if k and not k % _RELEASE_EVERY:
+            if k and not k % RELEASE_EVERY:
                 release_memory()
             made = step(batch.to_pydict())
             yield pa.RecordBatch.from_arrays(
@@ -96,7 +96,7 @@ def filter_rows(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         verdict = make()
         for k, batch in enumerate(batches):
-            if k and not k % _RELEASE_EVERY:
+            if k and not k % RELEASE_EVERY:
                 release_memory()
             keep = verdict(batch.column(batch.schema.get_field_index(column)).to_pylist())
             yield batch.filter(pa.array(keep, type=pa.bool_()))

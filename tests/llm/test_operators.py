@@ -5,12 +5,14 @@ import hashlib
 import random
 import re
 import time
+import tracemalloc
 import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -109,6 +111,51 @@ def test_forgetting_pieces_changes_nothing(monkeypatch):
     assert not small._pieces and small.encode_batch(texts)[0].tolist() == whole[0].tolist()
 
 
+class _Columns:
+    """Stands for a frame: hands out the function that a task would run."""
+
+    columns = ["ids"]
+    schema = T.StructType([T.StructField("ids", T.ArrayType(T.IntegerType()))])
+
+    def mapInArrow(self, run, schema):
+        return run
+
+
+def _traced(make):
+    """What ``make`` gives, the bytes it holds and the most it took on the way."""
+    tracemalloc.start()
+    try:
+        return make(), *tracemalloc.get_traced_memory()
+    finally:
+        tracemalloc.stop()
+
+
+def test_a_worker_of_the_codec_stays_small():
+    own, held, _ = _traced(lambda: bpe.BytePairCodec(PATH))
+    assert held < 15 << 20  # before: 21 MB
+    ids = np.random.default_rng(0).integers(300, 40_000, 1_000_000)
+    rows = pa.ListArray.from_arrays(pa.array([*range(0, 1_000_001, 5000)], pa.int32()), pa.array(ids, pa.int32()))
+    run = bpe.decode_ids(_Columns(), PATH)
+    bpe.codec(PATH)
+    made, _, most = _traced(lambda: list(run(iter([pa.RecordBatch.from_arrays([rows], names=["ids"])]))))
+    assert most < 30 << 20  # before: the numbers of all rows as integers of Python, 36 MB and more
+    texts = made[0].column(1).to_pylist()
+    assert texts == [own.decode(x) for x in rows.to_pylist()]
+    odd = pa.array([[300, 301], None, [], [302]], pa.list_(pa.int32()))
+    for some in (odd, odd.slice(1), odd[:0]):
+        (made,) = run(iter([pa.RecordBatch.from_arrays([some], names=["ids"])]))
+        assert made.column(1).to_pylist() == [own.decode(x or ()) for x in some.to_pylist()]
+
+
+def test_digest_of_ids_is_of_decimals_and_commas(odd):
+    library = Tokenizer.from_file(PATH)
+    wanted = [library.encode(t or "", add_special_tokens=False).ids for _, t, _ in ODD]
+    rows = bpe.round_trip_digests(odd, PATH).select("n_tokens", "ids_sha256").collect()
+    assert sorted(map(tuple, rows)) == sorted(
+        (len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()) for ids in wanted
+    )
+
+
 def test_first_fit_decreasing_equals_brute_force():
     rng = np.random.default_rng(0)
     for _ in range(50):
